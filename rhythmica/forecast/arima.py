@@ -69,10 +69,11 @@ class ArimaFit:
     y: str
     coefs: DataFrame  # series, n, coef, intercept, rss, ok, long_coef, long_intercept, fb_phi, fb_var
     history: DataFrame
+    exog: tuple[str, ...] = ()
 
     def info(self) -> DataFrame:
         """Information criteria of the conditional least squares fit."""
-        k = len(self.order.ar_lags) + len(self.order.ma_lags) + int(self.order.trend) + 1
+        k = len(self.order.ar_lags) + len(self.order.ma_lags) + len(self.exog) + int(self.order.trend) + 1
         fit_term = F.col("n") * F.log(F.try_divide("rss", "n"))
         return self.coefs.select(
             *self.series, "n", "coef", "intercept", "ok",
@@ -86,20 +87,31 @@ class ArimaFit:
         to that many rows per series before the shuffle."""
         newest = Window.partitionBy(*self.series).orderBy(*[F.col(c).desc() for c in self.order_by])
         n = self.order.reach
-        last = self.history.select(*self.series, *[c for c in self.order_by if c not in self.series], self.y)
+        last = self.history.select(*dict.fromkeys([*self.series, *self.order_by, self.y, *self.exog]))
+        drivers = F.array(*[F.col(c).cast("double") for c in self.exog]).cast("array<double>")
+        entry = F.struct((-F.col("_r")).alias("r"), F.col(self.y).cast("double").alias("v"), drivers.alias("x"))
         return (
             last.withColumn("_r", F.row_number().over(newest))
             .filter(F.col("_r") <= n)
             .groupBy(*self.series)
-            .agg(F.array_sort(F.collect_list(F.struct((-F.col("_r")).alias("r"), F.col(self.y).cast("double").alias("v")))).alias("_t"))
-            .select(*self.series, F.transform("_t", lambda e: e["v"]).alias("tail"))
+            .agg(F.array_sort(F.collect_list(entry)).alias("_t"))
+            .select(*self.series, F.transform("_t", lambda e: e["v"]).alias("tail"), F.transform("_t", lambda e: e["x"]).alias("drivers"))
         )
 
-    def forecast(self, horizon: int, confidence: float = 0.95) -> DataFrame:
-        """Recursive h-step forecasts: (series, step, yhat, std, lower, upper)."""
+    def forecast(self, horizon: int, confidence: float = 0.95, future: DataFrame | None = None) -> DataFrame:
+        """Recursive h-step forecasts: (series, step, yhat, std, lower, upper).
+
+        With exogenous columns ``future`` holds their values per series and step 1..horizon.
+        """
+        if bool(self.exog) != (future is not None):
+            raise ValueError("future values are needed exactly when the model has exogenous columns")
         z = float(_normal_quantile((1 + confidence) / 2))
         order, keys = self.order, list(self.series)
         joined = self.tails().join(self.coefs, keys)
+        if future is not None:
+            values = F.struct("step", F.array(*[F.col(c).cast("double") for c in self.exog]).alias("x"))
+            ahead = future.filter(F.col("step").between(1, horizon)).groupBy(*keys).agg(F.array_sort(F.collect_list(values)).alias("_f"))
+            joined = joined.join(ahead.select(*keys, F.transform("_f", lambda e: e["x"]).alias("ahead")), keys)
         fields = [joined.schema[c] for c in keys]
         out_schema = T.StructType(
             fields + [T.StructField("step", T.IntegerType())] + [T.StructField(c, T.DoubleType()) for c in ("yhat", "std", "lower", "upper")]
@@ -125,15 +137,20 @@ def fit_arima(
     y: str,
     order: ArimaOrder = ArimaOrder(),
     layout: Layout | None = None,
+    exog: Sequence[str] = (),
 ) -> ArimaFit:
-    series, order_by = tuple(series), tuple(order_by)
-    rows = df.select(*series, *[c for c in order_by if c not in series], F.col(y).cast("double").alias(y))
+    """Fit one model per series. ``exog`` columns enter as regressors, differenced like the target."""
+    series, order_by, exog = tuple(series), tuple(order_by), tuple(exog)
+    rows = df.select(
+        *series, *[c for c in order_by if c not in series], F.col(y).cast("double").alias(y), *[F.col(c).cast("double").alias(c) for c in exog]
+    )
     layout = layout or plan_layout(rows, series, order_by, reach=order.reach)
     split = layout.cuts is not None
     w = layout.window()
     lags = sorted({*order.ar_lags, *order.long_lags})
     columns = {"_w": lagged_sum(y, order.weights, w)}
     columns |= {f"_x{k}": lagged_sum(y, order.weights, w, k) for k in lags}
+    columns |= {f"_z{i}": lagged_sum(c, order.weights, w) for i, c in enumerate(exog)}
     columns |= {"_f0": lagged_sum(y, {0: 1.0, 1: -1.0}, w), "_f1": lagged_sum(y, {0: 1.0, 1: -1.0}, w, 1)}
     table = layout.spread(rows, copies=split).withColumns(columns)
     own = (lambda t: t.filter(~F.col(COPY))) if split else (lambda t: t)
@@ -144,8 +161,9 @@ def fit_arima(
     ]
 
     xs = [f"_x{k}" for k in order.ar_lags]
+    zs = [f"_z{i}" for i in range(len(exog))]
     if order.ma_lags:
-        long_xs = [f"_x{k}" for k in order.long_lags]
+        long_xs = [f"_x{k}" for k in order.long_lags] + zs
         stage1 = settled(
             fit_linear(own(table), series, "_w", long_xs, intercept=order.trend).select(
                 *series, F.col("coef").alias("long_coef"), F.col("intercept").alias("long_intercept")
@@ -158,13 +176,13 @@ def fit_arima(
         table = layout.attach(table, stage1, "left").withColumn("_e", F.col("_w") - fitted)
         w = layout.window()
         table = table.withColumns({f"_e{k}": F.lag("_e", k).over(w) for k in order.ma_lags})
-        xs += [f"_e{k}" for k in order.ma_lags]
+        xs += [f"_e{k}" for k in order.ma_lags] + zs
         coefs = fit_linear(own(table), series, "_w", xs, intercept=order.trend, extra=fallback).join(stage1, list(series), "left")
     else:
-        coefs = fit_linear(own(table), series, "_w", xs, intercept=order.trend, extra=fallback).withColumns(
+        coefs = fit_linear(own(table), series, "_w", xs + zs, intercept=order.trend, extra=fallback).withColumns(
             {"long_coef": F.array().cast("array<double>"), "long_intercept": F.lit(0.0)}
         )
-    return ArimaFit(order, series, order_by, y, settled(coefs, "arima-coefs"), df)
+    return ArimaFit(order, series, order_by, y, settled(coefs, "arima-coefs"), df, exog)
 
 
 def _forecast_batch(pdf: pd.DataFrame, keys: list[str], order: ArimaOrder, horizon: int, z: float) -> pd.DataFrame:
@@ -182,6 +200,7 @@ def _forecast_batch(pdf: pd.DataFrame, keys: list[str], order: ArimaOrder, horiz
         phi = np.where(rest["tail"].map(len).to_numpy() >= 3, rest["fb_phi"].to_numpy(float), 0.0)
         rest["coef"] = [np.array([v]) for v in np.nan_to_num(phi)]
         rest["intercept"], rest["long_coef"], rest["long_intercept"] = 0.0, [np.zeros(0)] * len(rest), 0.0
+        rest = rest.drop(columns=[c for c in ("ahead",) if c in rest])
         rest["rss"], rest["n"] = np.nan_to_num(rest["fb_var"].to_numpy(float)), 1
         parts.append(_recurse(rest, keys, ArimaOrder(1, 1, 0), horizon, z))
     return pd.concat(parts, ignore_index=True)
@@ -193,17 +212,23 @@ def _recurse(pdf: pd.DataFrame, keys: list[str], order: ArimaOrder, horizon: int
     y = np.stack([np.asarray(t, float)[-size:] for t in pdf["tail"]])
     coef = np.stack([np.asarray(c, float) for c in pdf["coef"]])
     const = pdf["intercept"].to_numpy(float)
-    n_ar = len(order.ar_lags)
-    phi, theta = coef[:, :n_ar], coef[:, n_ar:]
+    n_ar, n_ma = len(order.ar_lags), len(order.ma_lags)
+    phi, theta, gamma = coef[:, :n_ar], coef[:, n_ar : n_ar + n_ma], coef[:, n_ar + n_ma :]
     lag0 = max(order.weights)
 
     def differenced(values: np.ndarray) -> np.ndarray:
-        out = np.zeros((values.shape[0], values.shape[1] - lag0))
+        out = np.zeros((values.shape[0], values.shape[1] - lag0, *values.shape[2:]))
         for k, c in order.weights.items():
             out += c * values[:, lag0 - k : values.shape[1] - k]
         return out
 
     w = differenced(y)
+    n_past = w.shape[1]
+    drivers = np.zeros((len(pdf), n_past + horizon, 0))
+    if "ahead" in pdf:
+        past = np.stack([np.stack([np.asarray(x, float) for x in d])[-size:] for d in pdf["drivers"]])
+        ahead = np.stack([np.stack([np.asarray(x, float) for x in d]) for d in pdf["ahead"]])
+        drivers = differenced(np.concatenate([past, ahead], axis=1))
     e = np.zeros_like(w)
     if order.ma_lags:
         long = np.stack([np.asarray(c, float) for c in pdf["long_coef"]])
@@ -211,11 +236,12 @@ def _recurse(pdf: pd.DataFrame, keys: list[str], order: ArimaOrder, horizon: int
         fit = np.repeat(pdf["long_intercept"].to_numpy(float)[:, None], w.shape[1] - start, axis=1)
         for i, k in enumerate(order.long_lags):
             fit += long[:, [i]] * w[:, start - k : w.shape[1] - k]
+        fit += np.einsum("gtk,gk->gt", drivers[:, start:n_past], long[:, len(order.long_lags) :])
         e[:, start:] = w[:, start:] - fit
 
     future = []
-    for _ in range(horizon):
-        step = const.copy()
+    for h in range(horizon):
+        step = const + (gamma * drivers[:, n_past + h]).sum(axis=1)
         for i, k in enumerate(order.ar_lags):
             step = step + phi[:, i] * w[:, -k]
         for i, k in enumerate(order.ma_lags):

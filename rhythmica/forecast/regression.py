@@ -7,6 +7,7 @@ Python, where a batch of groups is solved at once.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -94,3 +95,24 @@ def predict_linear(coef: Column | str, intercept: Column | str, xs: Sequence[str
     for i, x in enumerate(xs):
         out = out + c[i] * F.col(x)
     return out
+
+
+@dataclass
+class LinearForecaster:
+    """Least squares (or ridge) over named columns, one model for the whole table."""
+
+    features: Sequence[str]
+    target: str
+    alpha: float = 0.0
+    coef: tuple[float, ...] = ()
+    intercept: float = 0.0
+
+    def fit(self, df: DataFrame) -> LinearForecaster:
+        row = fit_linear(df, [], self.target, self.features, self.alpha).first()  # one row
+        return LinearForecaster(self.features, self.target, self.alpha, tuple(row["coef"]), row["intercept"])
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        out = F.lit(self.intercept)
+        for c, x in zip(self.coef, self.features, strict=True):
+            out = out + F.lit(c) * F.col(x)
+        return df.withColumn("prediction", out)

@@ -65,9 +65,10 @@ def boosted_trees(
     validation: str | None = None, tolerance: float = 0.01, seed: int = 42,
 ) -> TreeForecaster:
     """``validation`` names a Boolean column that marks the rows for early stopping."""
-    learner = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, stepSize=step, maxDepth=depth, subsamplingRate=subsample, seed=seed)
-    if validation:
-        learner = learner.setValidationIndicatorCol(validation).setValidationTol(tolerance)
+    early_stop = {"validationIndicatorCol": validation, "validationTol": tolerance} if validation else {}
+    learner = GBTRegressor(
+        featuresCol="features", labelCol=target, maxIter=rounds, stepSize=step, maxDepth=depth, subsamplingRate=subsample, seed=seed, **early_stop
+    )
     return TreeForecaster(features, target, learner)
 
 

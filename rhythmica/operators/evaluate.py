@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,28 @@ def score_or_null(df: DataFrame, y: str, p: str, metrics: dict[str, M.Metric]) -
     return {n: out[n] for n in metrics}
 
 
+def score_python(
+    df: DataFrame, y: str, p: str, by: Sequence[str], metrics: dict[str, Callable[[pd.Series, pd.Series], float]], max_rows: int = 1_000_000
+) -> DataFrame:
+    """User metrics written as plain (y_true, y_pred) -> float functions, one call per group.
+
+    Such a function needs its whole group in memory, so the group sizes are checked first; larger
+    groups need the metric as a column expression.
+    """
+    largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > max_rows:
+        raise ValueError(f"a group has {largest} rows, more than {max_rows}: write the metric as a column expression")
+
+    def wrap(fn):
+        @F.pandas_udf("double")
+        def run(a: pd.Series, b: pd.Series) -> float:
+            return float(fn(a, b))
+
+        return run(F.col(y).cast("double"), F.col(p).cast("double"))
+
+    return df.groupBy(*by).agg(*[wrap(fn).alias(name) for name, fn in metrics.items()])
+
+
 def directional_accuracy(
     df: DataFrame, y: str, p: str, series: Sequence[str], order_by: Sequence[str], by: Sequence[str] | None = None,
     layout: Layout | None = None,

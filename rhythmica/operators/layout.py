@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -37,6 +38,11 @@ def _order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
+def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Null-safe equality of column pairs."""
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where each series is cut. ``cuts`` is None when every series fits into one block."""
@@ -46,6 +52,7 @@ class Layout:
     cuts: DataFrame | None = None  # series columns + _b: array<struct<start, tail, before>>, _hot_total
     n_cuts: int = 0
     reach: int = 0
+    rows: int | None = None  # rows of the table it was planned for, where counted
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.series, BLOCK).orderBy(*self.order_by)
@@ -62,11 +69,7 @@ class Layout:
 
         if self.series:
             cuts = F.broadcast(self.cuts.select(*[F.col(c).alias(f"_c_{c}") for c in self.series], "_b", "_hot_total"))
-            match = None
-            for c in self.series:
-                same = df[c].eqNullSafe(cuts[f"_c_{c}"])
-                match = same if match is None else match & same
-            joined = df.join(cuts, match, "left").drop(*[f"_c_{c}" for c in self.series])
+            joined = df.join(cuts, _same(df, cuts, [(c, f"_c_{c}") for c in self.series]), "left").drop(*[f"_c_{c}" for c in self.series])
         else:
             one = self.cuts.select(F.struct("_b", "_hot_total").alias("s")).scalar()
             joined = df.withColumn("_s", one).withColumns({"_b": F.col("_s._b"), "_hot_total": F.col("_s._hot_total")}).drop("_s")
@@ -107,17 +110,21 @@ class Layout:
         The small side is repeated once per block of a cut series, so a long series stays spread over
         its blocks and the rows keep the partitioning their windows already have.
         """
+        names = {c: f"_t_{c}" for c in self.series}
+        keyed = table.withColumnsRenamed(names)
         if self.cuts is None:
-            per_block = table.withColumn(BLOCK, F.lit(0))
+            per_block = keyed.withColumn("_t_blk", F.lit(0))
         elif self.series:
-            cuts = self.cuts.select(*self.series, (F.size("_b") - 1).alias("_last"))
-            per_block = table.join(F.broadcast(cuts), list(self.series), "left").withColumn(
-                BLOCK, F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0))))
-            ).drop("_last")
+            cuts = self.cuts.select(*[F.col(c).alias(f"_c_{c}") for c in self.series], (F.size("_b") - 1).alias("_last"))
+            matched = keyed.join(F.broadcast(cuts), _same(keyed, cuts, [(t, f"_c_{c}") for c, t in names.items()]), "left")
+            per_block = matched.withColumn("_t_blk", F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0))))).drop(
+                "_last", *[f"_c_{c}" for c in self.series]
+            )
         else:
             last = self.cuts.select((F.size("_b") - 1).alias("_last")).scalar()
-            per_block = table.withColumn(BLOCK, F.explode(F.sequence(F.lit(0), last)))
-        return spread.join(per_block, [*self.series, BLOCK], how)
+            per_block = keyed.withColumn("_t_blk", F.explode(F.sequence(F.lit(0), last)))
+        on = _same(spread, per_block, [*names.items(), (BLOCK, "_t_blk")])
+        return spread.join(per_block, on, how).drop("_t_blk", *names.values())
 
 
 def short_series(series: Sequence[str], order_by: Sequence[str]) -> Layout:
@@ -135,22 +142,20 @@ def plan_layout(
     order_by: Sequence[str],
     reach: int = 0,
     weight: str | None = None,
-    upper_bound: DataFrame | None = None,
 ) -> Layout:
     """Count the series of ``df`` and cut the ones longer than a block.
 
-    ``weight`` names a count column: positions then count weights instead of rows. ``upper_bound``
-    is a cheaper table that has at least as many rows per series.
+    ``weight`` names a count column: positions then count weights instead of rows.
     """
     series, order_by = tuple(series), tuple(order_by)
     plain = Layout(series, order_by, reach=reach)
     size = rows_per_block(df)
 
-    for table in ([upper_bound] if upper_bound is not None else []) + [df]:
-        counts = table.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
-        top = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-        if (top["top"] or 0) <= size:
-            return plain
+    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
+    plain = replace(plain, rows=top["total"] or 0)
+    if (top["top"] or 0) <= size:
+        return plain
 
     size = max(size, math.ceil(top["total"] / MAX_BLOCKS), 2 * reach)
     long_series = counts.filter(F.col("_n") > size).select(*series, "_n").collect()  # at most MAX_BLOCKS rows
@@ -164,11 +169,7 @@ def plan_layout(
     if series:
         names = T.StructType([df.schema[c] for c in series])
         picked = spark.createDataFrame([tuple(r[c] for c in series) for r in long_series], T.StructType([T.StructField(f"_c_{f.name}", f.dataType) for f in names]))
-        match = None
-        for c in series:
-            same = rows[c].eqNullSafe(picked[f"_c_{c}"])
-            match = same if match is None else match & same
-        rows = rows.join(F.broadcast(picked), match, "left_semi")
+        rows = rows.join(F.broadcast(picked), _same(rows, picked, [(c, f"_c_{c}") for c in series]), "left_semi")
 
     n_ranges = math.ceil(sum(r["_n"] for r in long_series) / size)
     pieces = (
@@ -206,7 +207,7 @@ def plan_layout(
         return spark.createDataFrame(out, cut_type)
 
     longest = max(len(b) for b in by_series.values())
-    layout = Layout(series, order_by, as_table({}), longest, reach)
+    layout = Layout(series, order_by, as_table({}), longest, reach, plain.rows)
     if reach:
         # the key of the reach-th row from the end of each block; the row_number filter limits every
         # task to the last `reach` rows per block before the shuffle
@@ -220,7 +221,7 @@ def plan_layout(
             .collect()
         )
         tails = {(tuple(r[c] for c in series), r[BLOCK]): tuple(r["tail"]) for r in ends}
-        layout = Layout(series, order_by, as_table(tails), longest, reach)
+        layout = Layout(series, order_by, as_table(tails), longest, reach, plain.rows)
     return layout
 
 
@@ -267,14 +268,15 @@ def with_position(
     return spread.withColumns(new).drop(BLOCK, BEFORE, TOTAL)
 
 
-def key_at(df: DataFrame, order_by: Sequence[str], positions: Sequence[int]) -> list[dict | None]:
-    """The order keys found at the given 0-based positions of the whole table.
+def keys_at(df: DataFrame, order_by: Sequence[str], positions: Callable[[int], Sequence[int]]) -> list[dict | None]:
+    """The order keys at 0-based positions of the whole table; ``positions`` gets the row count.
 
     Only key columns move, and only the blocks that hold a wanted position are numbered.
     """
     keys = df.select(*order_by)
     layout = plan_layout(keys, [], order_by)
-    wanted = sorted(set(positions))
+    asked = positions(layout.rows)
+    wanted = sorted(set(asked))
     spread = layout.spread(keys)
     if layout.cuts is not None:
         entries = layout.cuts.select("_b.before", "_hot_total").first()
@@ -283,6 +285,6 @@ def key_at(df: DataFrame, order_by: Sequence[str], positions: Sequence[int]) ->
         blocks = [i for i, (a, b) in enumerate(zip(starts, ends, strict=True)) if any(a <= p < b for p in wanted)]
         spread = spread.filter(F.col(BLOCK).isin(blocks))
     numbered = spread.withColumn("_pos", F.col(BEFORE) + F.row_number().over(layout.window()) - 1)
-    rows = numbered.filter(F.col("_pos").isin(wanted)).select("_pos", *order_by).collect() if wanted else []
+    rows = numbered.filter(F.col("_pos").isin(wanted)).select("_pos", *order_by).collect()  # one row per wanted position
     at = {r["_pos"]: {c: r[c] for c in order_by} for r in rows}
-    return [at.get(p) for p in positions]
+    return [at.get(p) for p in asked]

@@ -7,19 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rhythmica.operators.layout import BEFORE, TOTAL, plan_layout
+from rhythmica.operators.layout import BEFORE, TOTAL, Layout, plan_layout, rows_per_block
+
+# groups up to this many rows use Spark's own percentile, whose buffer holds the distinct values
+SMALL_GROUP = 100_000
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row per group with the linearly interpolated percentiles of ``column``.
 
-    Equal values are counted first (partial aggregation), then the distinct values of each group are
-    laid out in blocks, and the values at the two ranks around each percentile are picked by
-    cumulative count.
+    Small groups (counted first) use the built-in percentile. Otherwise equal values are tallied by
+    partial aggregation, the distinct values of each group are laid out in blocks, and the values at
+    the two ranks around each percentile are picked by cumulative count.
     """
     present = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).alias("_v"))
+    largest = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    block = rows_per_block(df)
+    if largest <= min(SMALL_GROUP, block):
+        cuts = present.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(float(q)) for q in probs])).alias("_q"))
+        return cuts.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     tally = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    layout = plan_layout(tally, by, ["_v"], weight="_w", upper_bound=present)
+    layout = Layout(tuple(by), ("_v",)) if largest <= block else plan_layout(tally, by, ["_v"], weight="_w")
     below = layout.window().rowsBetween(Window.unboundedPreceding, -1)
     ranked = layout.spread(tally).select(
         *by,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.operators.layout import Layout, key_at, plan_layout, with_position
+from rhythmica.operators.layout import Layout, keys_at, plan_layout, with_position
 
 
 def split_points(n: int, train: float, validation: float) -> tuple[int, int]:
@@ -23,9 +23,7 @@ def temporal_split(
     Only the two order keys at the cut points are looked up; the rows themselves are then tagged by
     comparison with them, without a shuffle.
     """
-    n = df.count()
-    first_val, first_test = split_points(n, train, validation)
-    at_val, at_test = key_at(df, order_by, [first_val, first_test])
+    at_val, at_test = keys_at(df, order_by, lambda n: split_points(n, train, validation))
     test_or_later = _at_or_after(order_by, at_test)
     val_or_later = _at_or_after(order_by, at_val)
     return df.withColumn(name, F.when(test_or_later, "test").when(val_or_later, "val").otherwise("train"))

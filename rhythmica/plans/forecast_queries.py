@@ -50,8 +50,8 @@ def _(spark, sf):
     "prediction_interval",
     f"""WITH {FORECAST_SQL}, q AS (SELECT series, quantile_cont(y - rolling, 0.05) AS lo, quantile_cont(y - rolling, 0.95) AS hi FROM forecasts GROUP BY series),
        s AS (SELECT series, stddev_pop(rolling) AS sd FROM forecasts GROUP BY series), g AS (SELECT stddev_pop(rolling) AS sd FROM forecasts)
-       SELECT f.series, week, {R("rolling - 1.96 * s.sd", 2)} AS series_lower, {R("rolling + 1.96 * s.sd", 2)} AS series_upper,
-         {R("rolling - 1.96 * g.sd", 2)} AS lower, {R("rolling + lo", 2)} AS residual_lower, {R("rolling + hi", 2)} AS residual_upper
+       SELECT f.series, week, {R("rolling - 1.96 * s.sd", 4)} AS series_lower, {R("rolling + 1.96 * s.sd", 4)} AS series_upper,
+         {R("rolling - 1.96 * g.sd", 4)} AS lower, {R("rolling + lo", 4)} AS residual_lower, {R("rolling + hi", 4)} AS residual_upper
        FROM forecasts f JOIN q ON f.series = q.series JOIN s ON f.series = s.series, g""",
     dates=["week"],
 )
@@ -61,8 +61,8 @@ def _(spark, sf):
     out = intervals.spread_interval(out, "rolling").withColumnsRenamed({"lower": "all_lower"}).drop("upper")
     out = intervals.residual_interval(out, df, "y", "rolling", ["series"], 0.9)
     return out.select(
-        "series", "week", r("series_lower", 2).alias("series_lower"), r("series_upper", 2).alias("series_upper"), r("all_lower", 2).alias("lower"),
-        r("lower", 2).alias("residual_lower"), r("upper", 2).alias("residual_upper"),
+        "series", "week", r("series_lower", 4).alias("series_lower"), r("series_upper", 4).alias("series_upper"), r("all_lower", 4).alias("lower"),
+        r("lower", 4).alias("residual_lower"), r("upper", 4).alias("residual_upper"),
     )
 
 

@@ -178,9 +178,14 @@ def _(spark, sf):
 )
 def _(spark, sf):
     base = shared_dir(spark, "lags")
-    # four files in time order, so that the stream arrives in several micro-batches
+    # the table arrives as four deliveries in time order, one micro-batch each
     ev = load(spark, sf, "events").select("event_id", "ts", "user_id", "value")
-    ev.repartitionByRange(4, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(f"{base}/in")
+    span = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    edges = [span["a"] + (span["b"] - span["a"]) * k / 4 for k in range(4)]
+    for k, start in enumerate(edges):
+        part = ev.filter(F.col("ts") >= F.lit(start))
+        part = part.filter(F.col("ts") < F.lit(edges[k + 1])) if k < 3 else part
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream = jobs.file_stream(spark, f"{base}/in", ev, "*.parquet", max_files=1)
     jobs.run_to_end(jobs.online_lags(stream, ["user_id"], ["ts", "event_id"], "value", [1, 3], f"{base}/out", f"{base}/state", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/out").select("event_id", "value_lag_1", "value_lag_3")
