@@ -36,9 +36,16 @@ def map_values(col: Column | str, mapping: Mapping) -> Column:
     return F.try_element_at(table, _c(col))
 
 
+# What reads as a number
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+
+
 def to_numeric(col: Column | str) -> Column:
-    """Number or null, whatever the text."""
-    return _c(col).try_cast("double")
+    """Number or null, whatever the text. The pattern keeps junk away from the cast, where every
+    failure costs an exception."""
+    c = _c(col)
+    return F.when(c.cast("string").rlike(NUMBER), c.try_cast("double"))
 
 
 def clip_negative(col: Column | str) -> Column:

@@ -57,9 +57,6 @@ class Layout:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.series, BLOCK).orderBy(*self.order_by)
 
-    def block_window(self) -> WindowSpec:
-        return Window.partitionBy(*self.series, BLOCK)
-
     def spread(self, df: DataFrame, copies: bool = False) -> DataFrame:
         """Add ``_blk``, ``_before`` (rows or weight in earlier blocks), ``_total`` (null for short
         series) and, with ``copies``, the repeated rows marked by ``_copy``."""
@@ -264,7 +261,9 @@ def with_position(
     spread = layout.spread(df)
     new = {position: F.col(BEFORE) + F.row_number().over(layout.window()) - 1}
     if total:
-        new[total] = F.coalesce(F.col(TOTAL), F.count(F.lit(1)).over(layout.block_window()))
+        # same partitioning and order as the position, so both come from one window operator
+        whole = layout.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        new[total] = F.coalesce(F.col(TOTAL), F.count(F.lit(1)).over(whole))
     return spread.withColumns(new).drop(BLOCK, BEFORE, TOTAL)
 
 

@@ -7,34 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rhythmica.operators.layout import BEFORE, TOTAL, Layout, plan_layout, rows_per_block
+from rhythmica.operators.layout import BEFORE, TOTAL, plan_layout, rows_per_block
+from rhythmica.session import settled
 
-# groups up to this many rows use Spark's own percentile, whose buffer holds the distinct values
+# tables whose groups all have at most this many rows use Spark's own percentile
 SMALL_GROUP = 100_000
+# rank error of the sketch that brackets the wanted ranks, and the width of a bracket: four times that
+ACCURACY = 2000
+MARGIN = 4 / ACCURACY
+# below this size a bracket would be a few rows wide, so the whole group is kept
+BRACKET_FROM = 10_000
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row per group with the linearly interpolated percentiles of ``column``.
 
-    Small groups (counted first) use the built-in percentile. Otherwise equal values are tallied by
-    partial aggregation, the distinct values of each group are laid out in blocks, and the values at
-    the two ranks around each percentile are picked by cumulative count.
+    Small groups (counted first) use the built-in percentile. Otherwise a mergeable sketch brackets
+    each wanted rank; rows inside a bracket are tallied by value, rows between brackets only counted.
+    The tally - a few thousandths of the rows - is laid out in order and the values at the ranks are
+    picked by cumulative count. A rank outside its bracket would be an error, not a wrong value.
     """
     present = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).alias("_v"))
     largest = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    block = rows_per_block(df)
-    if largest <= min(SMALL_GROUP, block):
+    if largest <= min(SMALL_GROUP, rows_per_block(df)):
         cuts = present.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(float(q)) for q in probs])).alias("_q"))
         return cuts.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    tally = present.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    layout = Layout(tuple(by), ("_v",)) if largest <= block else plan_layout(tally, by, ["_v"], weight="_w")
+
+    tally = settled(_bracketed_tally(present, by, probs), "tally")
+    order = ("_region", "_v")
+    layout = plan_layout(tally, by, order, weight="_w")
     below = layout.window().rowsBetween(Window.unboundedPreceding, -1)
+    whole = layout.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = layout.spread(tally).select(
         *by,
         "_v",
         "_w",
         (F.col(BEFORE) + F.coalesce(F.sum("_w").over(below), F.lit(0))).alias("_lo"),
-        F.coalesce(F.col(TOTAL), F.sum("_w").over(layout.block_window())).alias("_all"),
+        F.coalesce(F.col(TOTAL), F.sum("_w").over(whole)).alias("_all"),
     )
 
     def value_at(rank: Column) -> Column:
@@ -45,13 +54,43 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
         rank = F.lit(float(q)) * (F.col("_all") - 1)
         picks += [value_at(F.floor(rank)).alias(f"_a{i}"), value_at(F.ceil(rank)).alias(f"_b{i}")]
     found = ranked.groupBy(*by).agg(*picks, F.max("_all").alias("_all"))
+    outside = F.raise_error(F.lit("a percentile fell outside its bracket"))
     out = [F.col(c) for c in by]
     for i, (q, name) in enumerate(zip(probs, names, strict=True)):
         rank = F.lit(float(q)) * (F.col("_all") - 1)
-        out.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * (rank - F.floor(rank))).alias(name))
+        low = F.coalesce(F.col(f"_a{i}"), outside.cast("double"))
+        high = F.coalesce(F.col(f"_b{i}"), outside.cast("double"))
+        out.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
     return found.select(*out)
 
 
+def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Counts per (group, region, value); rows between brackets have no value and one count per gap.
+
+    ``_region`` numbers the intervals between the sorted bracket ends, so (region, value) is the value
+    order.
+    """
+    ends = [p for q in probs for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    sketch = F.percentile_approx("_v", [float(p) for p in ends], ACCURACY)
+    bounds = F.when(F.count(F.lit(1)) >= BRACKET_FROM, sketch)
+    # written once, so that every job sees the same brackets
+    brackets = settled(present.groupBy(*by).agg(bounds.alias("_ends")), "brackets")
+    if by:
+        renamed = brackets.withColumnsRenamed({c: f"_t_{c}" for c in by})
+        match = F.lit(True)
+        for c in by:
+            match = match & present[c].eqNullSafe(renamed[f"_t_{c}"])
+        rows = present.join(renamed, match).drop(*[f"_t_{c}" for c in by])
+    else:
+        rows = present.withColumn("_ends", brackets.scalar())
+    region, kept = F.lit(0), F.col("_ends").isNull()
+    for i in range(len(ends)):
+        region = region + F.coalesce((F.col("_ends")[i] < F.col("_v")).cast("int"), F.lit(0))
+    for i in range(0, len(ends), 2):
+        kept = kept | ((F.col("_v") >= F.col("_ends")[i]) & (F.col("_v") <= F.col("_ends")[i + 1]))
+    return rows.groupBy(*by, region.alias("_region"), F.when(kept, F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+
+
 def long_form(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per (row, column), values as double."""
     return df.select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rhythmica.functions.cleaning import NUMBER, WHOLE_NUMBER
 from rhythmica.operators.profile import duplicates
 
 
@@ -44,7 +45,12 @@ class Rule:
         if self.kind == "in_set":
             return F.coalesce(~c.isin(list(self.values)), F.lit(False))
         if self.kind == "type":
-            return c.isNotNull() & c.try_cast(self.type).isNull()
+            wrong = c.try_cast(self.type).isNull()
+            if self.type in ("tinyint", "smallint", "int", "bigint"):
+                wrong = ~c.cast("string").rlike(WHOLE_NUMBER) | wrong
+            elif self.type in ("float", "double"):
+                wrong = ~c.cast("string").rlike(NUMBER) | wrong
+            return c.isNotNull() & wrong
         if self.kind == "finite":
             return F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False))
         raise ValueError(f"unknown rule kind {self.kind!r}")

@@ -19,6 +19,7 @@ from rhythmica.plans.registry import (
     panel_layout,
     query,
     r,
+    stored_panel,
 )
 
 EVENT_ORDER = ("ts", "event_id")
@@ -105,7 +106,7 @@ def _trailing(y: str, part: str, order: str, n: int) -> tuple[str, str]:
     dates=["week"],
 )
 def _(spark, sf):
-    df = panel(spark, sf).select("series", "region", "week", "y")
+    df = stored_panel(spark, sf).select("series", "region", "week", "y")
     return features.add_history(df, "y", ["week", "series"], ["series", "region"], windows=[]).drop("region")
 
 

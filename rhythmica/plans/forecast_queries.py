@@ -24,6 +24,8 @@ from rhythmica.plans.registry import (
     panel_layout,
     query,
     r,
+    stored_forecasts,
+    stored_panel,
 )
 from rhythmica.session import settled, shared_dir
 
@@ -56,7 +58,7 @@ def _(spark, sf):
     dates=["week"],
 )
 def _(spark, sf):
-    df = forecasts(spark, sf).select("series", "week", "y", "rolling")
+    df = stored_forecasts(spark, sf).select("series", "week", "y", "rolling")
     out = intervals.spread_interval(df, "rolling", ["series"]).withColumnsRenamed({"lower": "series_lower", "upper": "series_upper"})
     out = intervals.spread_interval(out, "rolling").withColumnsRenamed({"lower": "all_lower"}).drop("upper")
     out = intervals.residual_interval(out, df, "y", "rolling", ["series"], 0.9)
@@ -99,7 +101,7 @@ _AR1_SQL = f"""{PANEL_SQL}, d AS (SELECT series, week, y, y - lag(y, 1) OVER w A
        FROM fit JOIN last USING (series)""",
 )
 def _(spark, sf):
-    fit = arima.fit_arima(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", arima.ArimaOrder(1, 1, 0, trend=True), panel_layout())
+    fit = arima.fit_arima(stored_panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", arima.ArimaOrder(1, 1, 0, trend=True), panel_layout())
     steps = fit.forecast(2).groupBy("series").agg(*[F.max(F.when(F.col("step") == k, F.col("yhat"))).alias(f"step_{k}") for k in (1, 2)])
     return fit.coefs.join(steps, "series").select(
         "series", "n", r(F.col("coef")[0]).alias("slope"), r("intercept", 3).alias("intercept"), r("step_1", 2).alias("step_1"), r("step_2", 2).alias("step_2")
@@ -108,14 +110,14 @@ def _(spark, sf):
 
 @query("arima_ma_panel")
 def _(spark, sf):
-    fit = arima.fit_arima(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", arima.ArimaOrder(1, 1, 1), panel_layout())
+    fit = arima.fit_arima(stored_panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", arima.ArimaOrder(1, 1, 1), panel_layout())
     return fit.forecast(8).join(fit.info().select("series", "aic", "bic", "ok"), "series")
 
 
 @query("seasonal_arima_panel")
 def _(spark, sf):
     order = arima.ArimaOrder(1, 0, 1, seasonal_p=1, seasonal_d=1, season=13)
-    fit = arima.fit_arima(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", order, panel_layout())
+    fit = arima.fit_arima(stored_panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", order, panel_layout())
     return fit.forecast(13)
 
 
@@ -161,7 +163,7 @@ def _ridge_sql(alpha: float) -> str:
 
 @query("ridge_stacking", _ridge_sql(1000.0), dates=["week"])
 def _(spark, sf):
-    df = settled(forecasts(spark, sf).select("series", "week", "y", "naive", "rolling"), "stacking")
+    df = stored_forecasts(spark, sf).select("series", "week", "y", "naive", "rolling")
     model = ensemble.Stacking(["naive", "rolling"], alpha=1000.0).fit(df, "y")
     return model.predict(df).select("series", "week", r("prediction", 2).alias("prediction"))
 
@@ -211,7 +213,7 @@ def _(spark, sf):
 
 @query("additive_forecast")
 def _(spark, sf):
-    df = panel(spark, sf).select("series", "week", "y", "holiday")
+    df = stored_panel(spark, sf).select("series", "week", "y", "holiday")
     spec = additive.AdditiveSpec(changepoints=10, yearly_order=4, weekly_order=0, regressors=("holiday",))
     model = additive.AdditiveModel(PANEL_SERIES, PANEL_ORDER, "week", "y", spec).fit(df.filter(F.col("week") < F.lit(dt.date(2000, 1, 3))), panel_layout())
     return model.predict(df.filter(F.col("week") >= F.lit(dt.date(2000, 1, 3))))

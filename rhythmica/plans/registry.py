@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rhythmica.operators.layout import Layout, short_series
-from rhythmica.session import utc
+from rhythmica.session import settled, utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,11 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel written once, for queries whose jobs read it several times."""
+    return settled(panel(spark, sf_dir), "panel")
+
+
 def panel_layout() -> Layout:
     """A nation has one row per calendar week, so its length is bounded by the calendar."""
     return short_series(PANEL_SERIES, PANEL_ORDER)
@@ -124,6 +129,10 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.na.drop(subset=["naive", "seasonal", "rolling"])
 
 
+def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(forecasts(spark, sf_dir), "forecasts")
+
+
 LONG_SQL = FORECAST_SQL + """, long AS (
   SELECT series, week, y, 'naive' AS model, naive AS p FROM forecasts UNION ALL
   SELECT series, week, y, 'seasonal', seasonal FROM forecasts UNION ALL
