@@ -3,12 +3,13 @@
 Spark has no row order, so every ordered operator names a series key and an order key (time, then a
 unique tiebreak). A window over the series key alone would put a series with a third of all rows
 into one task. ``plan_layout`` counts the series first; the long ones are cut into blocks of bounded
-size at exact order keys, found by a range shuffle of the key columns only. The cut points are read
-back as plain values, so every later use of a layout - also after a lost executor - sees the same
-blocks. Short series keep the ordinary one-shuffle window plan.
+size at order keys taken from a sample of the key columns. The cut points are read back as plain
+values, so every later use of a layout - also after a lost executor - sees the same blocks. Short
+series keep the ordinary one-shuffle window plan.
 
-``Layout.spread`` tags rows with their block. With a *reach* of w rows, the last w rows before a
-block are copied into it, which makes lags and trailing frames up to w rows exact across the cut.
+``Layout.spread`` tags rows with their block. With a *reach* of w rows, at least the last w rows
+before a block are copied into it, which makes lags and trailing frames up to w rows exact across
+the cut. The number of copied rows is counted, not estimated.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from pyspark.sql import types as T
 ROWS_PER_BLOCK_KEY = "spark.rhythmica.rowsPerBlock"
 ROWS_PER_BLOCK = 2_000_000
 MAX_BLOCKS = 50_000
+SAMPLES_PER_BLOCK = 32
 
-BLOCK, COPY, BEFORE, TOTAL = "_blk", "_copy", "_before", "_total"
+BLOCK, COPY, BEFORE, TOTAL, TAIL = "_blk", "_copy", "_before", "_total", "_tail"
 
 
 def _order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
@@ -57,7 +59,7 @@ class Layout:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.series, BLOCK).orderBy(*self.order_by)
 
-    def spread(self, df: DataFrame, copies: bool = False) -> DataFrame:
+    def spread(self, df: DataFrame, copies: bool = False, tails: bool = False) -> DataFrame:
         """Add ``_blk``, ``_before`` (rows or weight in earlier blocks), ``_total`` (null for short
         series) and, with ``copies``, the repeated rows marked by ``_copy``."""
         if self.cuts is None:
@@ -72,22 +74,19 @@ class Layout:
             joined = df.withColumn("_s", one).withColumns({"_b": F.col("_s._b"), "_hot_total": F.col("_s._hot_total")}).drop("_s")
 
         key = _order_key(df, self.order_by)
-        steps = max(1, math.ceil(math.log2(self.n_cuts + 1))) + 1
+        # last block whose start is not after the key: binary search, one power of two at a time
         found = F.aggregate(
-            F.sequence(F.lit(1), F.lit(steps)),
-            F.struct(F.lit(0).alias("lo"), (F.size("_b") - 1).alias("hi")),
-            lambda acc, _: F.when(
-                F.element_at("_b", F.shiftright(acc["lo"] + acc["hi"] + 1, 1) + 1)["start"] <= key,
-                F.struct(F.shiftright(acc["lo"] + acc["hi"] + 1, 1).alias("lo"), acc["hi"].alias("hi")),
-            ).otherwise(
-                F.struct(acc["lo"].alias("lo"), F.greatest(F.shiftright(acc["lo"] + acc["hi"] + 1, 1) - 1, acc["lo"]).alias("hi"))
-            ),
-            lambda acc: acc["lo"],
+            F.array(*[F.lit(1 << k) for k in reversed(range(max(1, self.n_cuts.bit_length())))]),
+            F.lit(0),
+            lambda at, step: F.when(
+                (at + step < F.size("_b")) & (F.try_element_at("_b", at + step + 1)["start"] <= key), at + step
+            ).otherwise(at),
         )
         out = joined.withColumn(BLOCK, F.when(F.col("_b").isNull(), F.lit(0)).otherwise(found))
         if copies:
             here = F.element_at("_b", F.col(BLOCK) + 1)
-            repeated = (F.col(BLOCK) + 1 < F.size("_b")) & (key >= here["tail"])
+            # a block without a tail key is copied whole
+            repeated = (F.col(BLOCK) + 1 < F.size("_b")) & (here["tail"].isNull() | (key >= here["tail"]))
             places = F.when(
                 F.col("_b").isNotNull() & F.coalesce(repeated, F.lit(False)),
                 F.array(F.struct(F.col(BLOCK).alias("b"), F.lit(False).alias("c")), F.struct((F.col(BLOCK) + 1).alias("b"), F.lit(True).alias("c"))),
@@ -99,6 +98,8 @@ class Layout:
                 TOTAL: F.col("_hot_total"),
             }
         )
+        if tails:
+            out = out.withColumn(TAIL, F.element_at("_b", F.col(BLOCK) + 1)["tail"])
         return out.drop("_b", "_hot_total")
 
     def attach(self, spread: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
@@ -149,77 +150,81 @@ def plan_layout(
     size = rows_per_block(df)
 
     counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first()
-    plain = replace(plain, rows=top["total"] or 0)
-    if (top["top"] or 0) <= size:
-        return plain
-
-    size = max(size, math.ceil(top["total"] / MAX_BLOCKS), 2 * reach)
-    long_series = counts.filter(F.col("_n") > size).select(*series, "_n").collect()  # at most MAX_BLOCKS rows
+    names = [F.col(c).alias(f"s{i}") for i, c in enumerate(series)]
+    long_one = F.when(F.col("_n") > size, F.struct("_n", *names))
+    top = counts.agg(F.sum("_n").alias("rows"), F.collect_list(long_one).alias("long")).first()  # at most rows / size entries
+    plain = replace(plain, rows=top["rows"] or 0)
+    size = max(size, math.ceil(plain.rows / MAX_BLOCKS), 2 * reach)
+    long_series = [r for r in top["long"] if r["_n"] > size]
     if not long_series:
         return plain
 
     spark = df.sparkSession
     key = _order_key(df, order_by)
-    keep = [F.col(weight)] if weight else []
-    rows = df.select(*series, *[c for c in order_by if c not in series], *keep)
+    keep = [F.col(weight).alias("_w")] if weight else [F.lit(1).cast("bigint").alias("_w")]
+    rows = df.select(*dict.fromkeys([*series, *order_by]), *keep)
+    fields = [df.schema[c] for c in series]
     if series:
-        names = T.StructType([df.schema[c] for c in series])
-        picked = spark.createDataFrame([tuple(r[c] for c in series) for r in long_series], T.StructType([T.StructField(f"_c_{f.name}", f.dataType) for f in names]))
+        picked_type = T.StructType([T.StructField(f"_c_{f.name}", f.dataType) for f in fields])
+        picked = spark.createDataFrame([tuple(r[f"s{i}"] for i in range(len(series))) for r in long_series], picked_type)
         rows = rows.join(F.broadcast(picked), _same(rows, picked, [(c, f"_c_{c}") for c in series]), "left_semi")
 
-    n_ranges = math.ceil(sum(r["_n"] for r in long_series) / size)
-    pieces = (
-        rows.repartitionByRange(n_ranges, *series, *order_by)
-        .withColumn("_pid", F.spark_partition_id())
-        .groupBy("_pid", *series)
-        .agg(F.min(key).alias("start"), F.count(F.lit(1)).alias("n"), F.sum(weight or F.lit(1)).cast("bigint").alias("w"))
-        .orderBy("_pid")
-        .collect()  # one row per block
-    )
-
-    by_series: dict[tuple, list[dict]] = {}
-    for p in pieces:
-        blocks = by_series.setdefault(tuple(p[c] for c in series), [])
-        if blocks and blocks[-1]["n"] < max(reach, size // 2):
-            blocks[-1]["n"] += p["n"]
-            blocks[-1]["w"] += p["w"]
+    # Every SAMPLES_PER_BLOCK-th sampled key starts a block, the sampled key before it starts the part
+    # of the previous block that is copied forward. The sample is chosen by hash, so it is repeatable,
+    # and has at most SAMPLES_PER_BLOCK * MAX_BLOCKS rows.
+    scale = 1 << 40
+    share = max(1, scale * SAMPLES_PER_BLOCK // size)
+    sample = rows.filter(F.pmod(F.xxhash64(*series, *order_by), F.lit(scale)) < share)
+    ranked = sample.withColumn("_rank", F.row_number().over(Window.partitionBy(*series).orderBy(*order_by)))
+    place = F.col("_rank") % SAMPLES_PER_BLOCK
+    marks = ranked.filter((place == 0) | (place == SAMPLES_PER_BLOCK - 1)).select(*series, "_rank", key.alias("k"))
+    key_type = marks.schema["k"].dataType
+    starts: dict[tuple, dict[int, tuple]] = {tuple(r[f"s{i}"] for i in range(len(series))): {0: None} for r in long_series}
+    tails: dict[tuple, dict[int, tuple]] = {s: {} for s in starts}
+    for r in marks.collect():
+        block, rest = divmod(r["_rank"] + 1, SAMPLES_PER_BLOCK)
+        if rest:  # a start; the sampled key before it is a tail
+            starts[tuple(r[c] for c in series)][block] = tuple(r["k"])
         else:
-            blocks.append({"start": p["start"], "n": p["n"], "w": p["w"]})
+            tails[tuple(r[c] for c in series)][block - 1] = tuple(r["k"])
 
-    key_type = rows.select(key.alias("k")).schema["k"].dataType
     block_type = T.StructType(
         [T.StructField("start", key_type), T.StructField("tail", key_type), T.StructField("before", T.LongType())]
     )
-    cut_type = T.StructType([df.schema[c] for c in series] + [T.StructField("_b", T.ArrayType(block_type)), T.StructField("_hot_total", T.LongType())])
+    cut_type = T.StructType([*fields, T.StructField("_b", T.ArrayType(block_type)), T.StructField("_hot_total", T.LongType())])
 
-    def as_table(tails: dict) -> DataFrame:
-        out = []
-        for s, blocks in by_series.items():
+    def layout_of(blocks: dict[tuple, list[dict]]) -> Layout:
+        table = []
+        for s, parts in blocks.items():
             before, entries = 0, []
-            for i, b in enumerate(blocks):
-                entries.append((tuple(b["start"]), tails.get((s, i)), before))
+            for b in parts:
+                entries.append((b["start"], b["tail"], before))
                 before += b["w"]
-            out.append((*s, entries, before))
-        return spark.createDataFrame(out, cut_type)
-
-    longest = max(len(b) for b in by_series.values())
-    layout = Layout(series, order_by, as_table({}), longest, reach, plain.rows)
-    if reach:
-        # the key of the reach-th row from the end of each block; the row_number filter limits every
-        # task to the last `reach` rows per block before the shuffle
-        last_first = Window.partitionBy(*series, BLOCK).orderBy(*[F.col(c).desc() for c in order_by])
-        ends = (
-            layout.spread(rows)
-            .withColumn("_r", F.row_number().over(last_first))
-            .filter(F.col("_r") <= reach)
-            .groupBy(*series, BLOCK)
-            .agg(F.min(key).alias("tail"))
-            .collect()
-        )
-        tails = {(tuple(r[c] for c in series), r[BLOCK]): tuple(r["tail"]) for r in ends}
-        layout = Layout(series, order_by, as_table(tails), longest, reach, plain.rows)
-    return layout
+            table.append((*s, entries, before))
+        return Layout(series, order_by, spark.createDataFrame(table, cut_type), max(len(p) for p in blocks.values()), reach, plain.rows)
+
+    draft = {s: [{"start": k, "tail": tails[s].get(i), "w": 0} for i, k in sorted(at.items())] for s, at in starts.items()}
+    tagged = layout_of(draft).spread(rows, tails=True)
+    counted = tagged.groupBy(*series, BLOCK).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.count_if(F.coalesce(key >= F.col(TAIL), F.lit(False))).alias("m")
+    ).collect()  # one row per block
+    sizes = {(tuple(r[c] for c in series), r[BLOCK]): r for r in counted}
+
+    final: dict[tuple, list[dict]] = {}
+    for s, parts in draft.items():
+        merged: list[dict] = []
+        for i, part in enumerate(parts):
+            r = sizes.get((s, i))
+            n, w, m = (r["n"], r["w"], r["m"]) if r else (0, 0, 0)
+            # a tail with too few rows is replaced by the whole block, a block with too few rows joins the one before
+            block = {"start": part["start"], "tail": part["tail"] if m >= max(reach, 1) else part["start"], "n": n, "w": w}
+            if merged and merged[-1]["n"] < max(reach, 1):
+                last = merged[-1]
+                last.update(n=last["n"] + n, w=last["w"] + w, tail=block["tail"] if m >= reach else last["start"])
+            else:
+                merged.append(block)
+        final[s] = merged
+    return layout_of(final)
 
 
 def with_windows(
