@@ -33,7 +33,11 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
         cuts = present.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(float(q)) for q in probs])).alias("_q"))
         return cuts.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
-    tally = settled(_bracketed_tally(present, by, probs), "tally")
+    return _pick(present, by, probs, names, present.groupBy(*by).agg(_bracket("_v", probs).alias("_ends")))
+
+
+def _pick(present: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str], brackets: DataFrame) -> DataFrame:
+    tally = settled(_bracketed_tally(present, by, probs, brackets), "tally")
     order = ("_region", "_v")
     layout = plan_layout(tally, by, order, weight="_w")
     below = layout.window().rowsBetween(Window.unboundedPreceding, -1)
@@ -64,17 +68,23 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
     return found.select(*out)
 
 
-def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _bracket_ends(probs: Sequence[float]) -> list[float]:
+    return [float(p) for q in probs for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+
+
+def _bracket(column: str, probs: Sequence[float]) -> Column:
+    """Sketched values at both ends of each bracket; null for groups that are kept whole."""
+    return F.when(F.count(column) >= BRACKET_FROM, F.percentile_approx(column, _bracket_ends(probs), ACCURACY))
+
+
+def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[float], brackets: DataFrame) -> DataFrame:
     """Counts per (group, region, value); rows between brackets have no value and one count per gap.
 
     ``_region`` numbers the intervals between the sorted bracket ends, so (region, value) is the value
     order.
     """
-    ends = [p for q in probs for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
-    sketch = F.percentile_approx("_v", [float(p) for p in ends], ACCURACY)
-    bounds = F.when(F.count(F.lit(1)) >= BRACKET_FROM, sketch)
-    # written once, so that every job sees the same brackets
-    brackets = settled(present.groupBy(*by).agg(bounds.alias("_ends")), "brackets")
+    ends = _bracket_ends(probs)
+    brackets = settled(brackets, "brackets")  # written once, so that every job sees the same brackets
     if by:
         renamed = brackets.withColumnsRenamed({c: f"_t_{c}" for c in by})
         match = F.lit(True)
@@ -101,4 +111,17 @@ def long_form(df: DataFrame, columns: Sequence[str], name: str = "column", value
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Percentiles of several columns, one row per column."""
-    return exact_quantiles(long_form(df, columns), ["column"], "value", probs, names)
+    if df.count() <= min(SMALL_GROUP, rows_per_block(df)):
+        return exact_quantiles(long_form(df, columns), ["column"], "value", probs, names)
+    # all sketches in one pass over the columns as they are
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    wide = numbers.agg(*[_bracket(c, probs).alias(c) for c in columns])
+    brackets = _one_row_per_column(wide, columns)
+    present = long_form(df, columns).select("column", F.col("value").alias("_v")).filter(F.col("_v").isNotNull())
+    return _pick(present, ["column"], probs, names, brackets)
+
+
+def _one_row_per_column(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return wide.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("_ends")) for c in columns])).alias("_e")
+    ).select("_e.column", "_e._ends")

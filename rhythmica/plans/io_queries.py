@@ -160,14 +160,18 @@ def _(spark, sf):
 
 
 @query(
-    "sliding_accuracy_windows",
+    "stream_sliding_windows",
     f"""SELECT strftime(w, '%Y-%m-%d %H') AS window_start, COUNT(*) AS n, {R("sqrt(avg((value - 10) * (value - 10)))")} AS rmse
-       FROM (SELECT value, unnest([date_trunc('day', ts) - INTERVAL 12 HOUR * CAST(hour(ts) < 12 AS INT), date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(hour(ts) >= 12 AS INT) - INTERVAL 0 HOUR]) AS w,
-               hour(ts) AS h FROM events) GROUP BY 1""",
+       FROM (SELECT value, unnest([half, half - INTERVAL 12 HOUR]) AS w
+             FROM (SELECT value, date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(hour(ts) >= 12 AS INT) AS half FROM events))
+       WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1""",
 )
 def _(spark, sf):
-    df = load(spark, sf, "events").withColumn("p", F.lit(10.0))
-    out = jobs.accuracy_windows(df, "ts", "value", "p", [], "1 day", "12 hours")
+    base = shared_dir(spark, "sliding")
+    stream = jobs.file_stream(spark, sf, load(spark, sf, "events"), "events.parquet").withColumn("p", F.lit(10.0))
+    windows = jobs.accuracy_windows(stream, "ts", "value", "p", [], "1 day", "12 hours", late="1 hour")
+    jobs.run_to_end(jobs.append_to(windows, f"{base}/out", f"{base}/checkpoint"))
+    out = spark.read.schema(windows.schema).parquet(f"{base}/out")
     return out.select(F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start"), "n", r("rmse").alias("rmse"))
 
 
