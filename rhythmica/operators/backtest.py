@@ -37,10 +37,12 @@ def origin_table(df: DataFrame, series: Sequence[str], order_by: Sequence[str],
     def known(f: Fold, c: Column) -> Column:
         return F.when(F.col(ts) < F.lit(f.cutoff), c)
 
+    # one order column keeps the buffers primitive, and with them the hash aggregate
+    key = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     aggs = []
     for f in folds:
         aggs += [
-            F.max(known(f, F.struct(*order_by, F.col(y).alias("_y"))))["_y"].alias(f"last_{f.number}"),
+            F.max_by(F.col(y), known(f, key)).alias(f"last_{f.number}"),
             F.avg(known(f, F.col(y))).alias(f"mean_{f.number}"),
             F.count(known(f, F.col(y))).alias(f"n_{f.number}"),
         ]

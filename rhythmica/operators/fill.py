@@ -26,23 +26,23 @@ def fill_gaps(
     layout = layout or plan_layout(df, series, order_by)
     spread = layout.spread(df)
     past = layout.window().rowsBetween(Window.unboundedPreceding, 0)
-    coming = layout.window().rowsBetween(0, Window.unboundedFollowing)
+    # a frame that reaches to the end is recomputed for every row; the same frame in reverse order is not
+    coming = Window.partitionBy(*series, BLOCK).orderBy(*[F.col(c).desc() for c in order_by]).rowsBetween(Window.unboundedPreceding, 0)
 
     carried = {c: ([], []) for c in columns}
     if layout.cuts is not None:
-        key = F.struct(*order_by)
         ends = []
         for c in columns:
             kept = F.when(F.col(c).isNotNull(), F.struct(*order_by, F.col(c).alias("_v")))
             ends += [F.max(kept)["_v"].alias(f"_last_{c}"), F.min(kept)["_v"].alias(f"_first_{c}")]
-        per_block = spread.filter(F.col(TOTAL).isNotNull()).groupBy(*series, BLOCK).agg(*ends, F.min(key).alias("_k"))
+        per_block = spread.filter(F.col(TOTAL).isNotNull()).groupBy(*series, BLOCK).agg(*ends)
         earlier = Window.partitionBy(*series).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        later = Window.partitionBy(*series).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
+        later = Window.partitionBy(*series).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
         carry = per_block.select(
             *[F.col(s).alias(f"_s_{s}") for s in series],
             F.col(BLOCK).alias("_b"),
             *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_prev_{c}") for c in columns],
-            *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_next_{c}") for c in columns],
+            *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_next_{c}") for c in columns],
         )
         match = spread[BLOCK] == carry["_b"]
         for s in series:
@@ -54,7 +54,7 @@ def fill_gaps(
     filled = {}
     for c in columns:
         before, after = carried[c]
-        options = [F.last(c, ignorenulls=True).over(past), *before, F.first(c, ignorenulls=True).over(coming), *after]
+        options = [F.last(c, ignorenulls=True).over(past), *before, F.last(c, ignorenulls=True).over(coming), *after]
         filled[c] = F.coalesce(*options, *([F.lit(constant)] if constant is not None else []))
     out = spread.withColumns(filled)
     return out.drop(BLOCK, BEFORE, TOTAL, *[f"_prev_{c}" for c in columns], *[f"_next_{c}" for c in columns])
