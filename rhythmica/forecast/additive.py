@@ -80,7 +80,7 @@ class AdditiveModel:
     def fit(self, df: DataFrame, layout: Layout | None = None) -> AdditiveModel:
         keys, spec = list(self.series), self.spec
         rows = self._rows(df).select(*dict.fromkeys([*keys, *self.order_by]), "_sec", "_y", *[f"_r{i}" for i in range(len(spec.regressors))])
-        rows = rows.filter(F.col("_y").isNotNull())
+        rows = rows.filter(F.col("_y").isNotNull() & ~F.isnan("_y"))
         layout = layout or plan_layout(rows, keys, self.order_by)
         stats = rows.groupBy(*keys).agg(
             F.min("_sec").alias("start"), (F.max("_sec") - F.min("_sec")).alias("length"), F.max(F.abs("_y")).alias("scale")

@@ -139,11 +139,12 @@ def fit_arima(
     layout: Layout | None = None,
     exog: Sequence[str] = (),
 ) -> ArimaFit:
-    """Fit one model per series. ``exog`` columns enter as regressors, differenced like the target."""
+    """Fit one model per series. ``exog`` columns enter as regressors, differenced like the target.
+    Rows without a target are left out."""
     series, order_by, exog = tuple(series), tuple(order_by), tuple(exog)
     rows = df.select(
         *series, *[c for c in order_by if c not in series], F.col(y).cast("double").alias(y), *[F.col(c).cast("double").alias(c) for c in exog]
-    )
+    ).filter(F.col(y).isNotNull() & ~F.isnan(y))
     layout = layout or plan_layout(rows, series, order_by, reach=order.reach)
     split = layout.cuts is not None
     w = layout.window()
@@ -182,7 +183,7 @@ def fit_arima(
         coefs = fit_linear(own(table), series, "_w", xs + zs, intercept=order.trend, extra=fallback).withColumns(
             {"long_coef": F.array().cast("array<double>"), "long_intercept": F.lit(0.0)}
         )
-    return ArimaFit(order, series, order_by, y, settled(coefs, "arima-coefs"), df, exog)
+    return ArimaFit(order, series, order_by, y, settled(coefs, "arima-coefs"), rows, exog)
 
 
 def _forecast_batch(pdf: pd.DataFrame, keys: list[str], order: ArimaOrder, horizon: int, z: float) -> pd.DataFrame:

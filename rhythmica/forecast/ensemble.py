@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.forecast.regression import fit_linear
+from rhythmica.forecast.regression import fit_one
 from rhythmica.functions.metrics import median_of
 
 
@@ -52,8 +52,7 @@ class Stacking:
     intercept: float = 0.0
 
     def fit(self, df: DataFrame, y: str) -> Stacking:
-        row = fit_linear(df, [], y, [*self.base, *self.features], self.alpha).first()  # one row
-        self.coef, self.intercept = list(row["coef"]), row["intercept"]
+        self.coef, self.intercept = fit_one(df, y, [*self.base, *self.features], self.alpha)
         return self
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:

@@ -88,6 +88,13 @@ def fit_linear(
     return moments.mapInPandas(run, T.StructType(kept + FIT_FIELDS))
 
 
+def fit_one(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.0, intercept: bool = True) -> tuple[list[float], float]:
+    """Coefficients and intercept for the whole table: one aggregate row, solved on the spot."""
+    moments = df.agg(*moment_columns(y, xs)).toPandas()  # one row
+    solved = solve_moments(moments, len(xs) + 1, alpha, intercept).iloc[0]
+    return [float(c) for c in solved["coef"]], float(solved["intercept"])
+
+
 def predict_linear(coef: Column | str, intercept: Column | str, xs: Sequence[str]) -> Column:
     c = F.col(coef) if isinstance(coef, str) else coef
     b = F.col(intercept) if isinstance(intercept, str) else intercept
@@ -108,8 +115,8 @@ class LinearForecaster:
     intercept: float = 0.0
 
     def fit(self, df: DataFrame) -> LinearForecaster:
-        row = fit_linear(df, [], self.target, self.features, self.alpha).first()  # one row
-        return LinearForecaster(self.features, self.target, self.alpha, tuple(row["coef"]), row["intercept"])
+        coef, intercept = fit_one(df, self.target, self.features, self.alpha)
+        return LinearForecaster(self.features, self.target, self.alpha, tuple(coef), intercept)
 
     def predict(self, df: DataFrame) -> DataFrame:
         out = F.lit(self.intercept)

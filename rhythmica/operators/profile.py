@@ -108,6 +108,12 @@ def duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
+    """Distinct values per column; ``approximate`` uses a sketch for very large keys."""
+    count = F.approx_count_distinct if approximate else F.countDistinct
+    return df.agg(*[count(c).alias(f"n_{c}") for c in columns])
+
+
 def extent(df: DataFrame, ts: str, series: Sequence[str] = ()) -> DataFrame:
     """Row count, first and last time, number of series."""
     n_series = F.countDistinct(F.struct(*series)) if series else F.lit(1).cast("bigint")

@@ -53,12 +53,16 @@ class StandardScaler(Scaler):
 
 @dataclass
 class RobustScaler(Scaler):
-    """Median and interquantile range, exact."""
+    """Median and interquantile range; exact unless ``exact=False`` asks for a sketch."""
 
     low: float = 0.25
     high: float = 0.75
+    exact: bool = True
 
     def _measure(self, df):
+        if not self.exact:
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [self.low, 0.5, self.high]).alias(c) for c in self.columns]).first()
+            return {c: (row[c][1], row[c][2] - row[c][0]) if row[c] else (None, None) for c in self.columns}
         rows = column_quantiles(df, self.columns, [self.low, 0.5, self.high], ["lo", "mid", "hi"]).collect()
         return {r["column"]: (r["mid"], r["hi"] - r["lo"]) for r in rows}
 

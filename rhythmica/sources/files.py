@@ -57,10 +57,18 @@ def fingerprint_key(df: DataFrame) -> str:
     return f"{row['n_rows']}-{row['xor_hash']}-{row['sum_hash']}"
 
 
-def cached_features(source: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str, name: str, force: bool = False) -> DataFrame:
-    """Stored features while the source is unchanged, rebuilt otherwise."""
+def listing_key(spark: SparkSession, folder: str, extension: str = ".parquet") -> str:
+    """A cheaper cache key: names, sizes and times of the files, contents unread."""
+    return fingerprint_key(list_data_files(spark, folder, extension))
+
+
+def cached_features(
+    source: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str, name: str, force: bool = False, key: str | None = None
+) -> DataFrame:
+    """Stored features while the source is unchanged, rebuilt otherwise. ``key`` defaults to the
+    content fingerprint of the source."""
     spark = source.sparkSession
-    path = f"{folder.rstrip('/')}/{name}_{fingerprint_key(source)}.parquet"
+    path = f"{folder.rstrip('/')}/{name}_{key or fingerprint_key(source)}.parquet"
     # a folder without _SUCCESS is a write that was cut short
     if force or not path_exists(spark, f"{path}/_SUCCESS"):
         build(source).write.mode("overwrite").parquet(path)

@@ -226,3 +226,18 @@ def test_future_rows(spark):
     out = base.future_rows(df, ["s"], "ts", 3, "1 day", {"fuel": 3.2}).orderBy("s", "step").collect()
     assert [(r["s"], r["step"], r["ts"].day) for r in out] == [("a", 1, 6), ("a", 2, 7), ("a", 3, 8), ("b", 1, 2), ("b", 2, 3), ("b", 3, 4)]
     assert out[0]["fuel"] == 3.2
+
+
+def test_tails_are_limited_before_the_shuffle(spark):
+    fit = arima.fit_arima(table(spark, {"a": ar_series(100, 0.5)}), ["series"], ["t"], "y", arima.ArimaOrder(1, 1, 0))
+    plan = fit.tails()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # partial in every task, then final
+    assert [len(r["tail"]) for r in fit.tails().collect()] == [fit.order.reach]
+
+
+def test_missing_targets_are_left_out(spark):
+    y = np.cumsum(ar_series(200, 0.5))
+    df = table(spark, {"a": y})
+    holes = df.unionByName(spark.createDataFrame([("a", 1000, None), ("a", 1001, float("nan"))], df.schema))
+    want, got = (arima.fit_arima(d, ["series"], ["t"], "y").forecast(3).orderBy("step").collect() for d in (df, holes))
+    assert [r["yhat"] for r in got] == pytest.approx([r["yhat"] for r in want])

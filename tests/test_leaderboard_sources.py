@@ -108,6 +108,15 @@ def test_fingerprint_and_cache(spark, tmp_path):
     assert len(built) == 3
 
 
+def test_listing_key_changes_with_the_files(spark, tmp_path):
+    folder = tmp_path / "t"
+    spark.range(5).write.parquet(str(folder))
+    before = files.listing_key(spark, str(folder))
+    assert before == files.listing_key(spark, str(folder))
+    spark.range(5).write.mode("append").parquet(str(folder))
+    assert before != files.listing_key(spark, str(folder))
+
+
 def test_listing_and_digests(spark, tmp_path):
     raw = tmp_path / "p" / "data" / "raw"
     raw.mkdir(parents=True)

@@ -105,3 +105,10 @@ def test_chain_modes_and_target_inverse(numbers):
     np.testing.assert_allclose(np.sort(back), np.sort(x[:, 0]), atol=1e-9)
     with pytest.raises(RuntimeError):
         scale.ScalerChain(steps()).transform(df)
+
+
+def test_sketched_robust_scaler_is_close(numbers):
+    df, x = numbers
+    rough = scale.RobustScaler(["b"], exact=False).fit(df).params["b"]
+    exact = scale.RobustScaler(["b"]).fit(df).params["b"]
+    np.testing.assert_allclose(rough, exact, rtol=0.1)
