@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.operators.features import difference_weights, lagged_sum
-from rhythmica.operators.layout import BEFORE, BLOCK, COPY, TOTAL, Layout, plan_layout
+from rhythmica.operators.layout import COPY, Layout, plan_layout
 from rhythmica.session import settled
 
 

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Accepted date shapes, day-first before month-first.
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy")
 
 
+def literal(value, dtype: T.DataType) -> Column:
+    """A literal of a column's own type. Zone-free times go through text, so that neither the zone of
+    the Python process nor that of the session can shift them."""
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, (date, datetime)):
+        return F.lit(value.isoformat()).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def parse_date(col: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Day-first parsing of mixed date shapes; null when none fits."""
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
-def date_parts(date: Column | str) -> dict[str, Column]:
+def date_parts(day: Column | str) -> dict[str, Column]:
     """Deterministic date features; Monday is 0, weeks are ISO weeks, flags are 0/1."""
-    d = F.to_date(F.col(date) if isinstance(date, str) else date)
+    d = F.to_date(F.col(day) if isinstance(day, str) else day)
     month_start = F.dayofmonth(d) == 1
     month_end = d == F.last_day(d)
     return {
@@ -49,8 +59,8 @@ def clock_parts(ts: Column | str) -> dict[str, Column]:
     }
 
 
-def add_date_features(df: DataFrame, date: str) -> DataFrame:
-    return df.withColumns(date_parts(date))
+def add_date_features(df: DataFrame, day: str) -> DataFrame:
+    return df.withColumns(date_parts(day))
 
 
 def cycle(col: Column | str, period: Column | float) -> tuple[Column, Column]:

@@ -9,6 +9,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rhythmica.functions.calendar import literal
+
 
 @dataclass(frozen=True)
 class Fold:
@@ -34,8 +36,10 @@ def origin_table(df: DataFrame, series: Sequence[str], order_by: Sequence[str],
 
     The folds are conditional aggregates, so the history is read once and never copied per fold.
     """
+    kind = df.schema[ts].dataType
+
     def known(f: Fold, c: Column) -> Column:
-        return F.when(F.col(ts) < F.lit(f.cutoff), c)
+        return F.when(F.col(ts) < literal(f.cutoff, kind), c)
 
     # one order column keeps the buffers primitive, and with them the hash aggregate
     key = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
@@ -59,9 +63,14 @@ def origin_table(df: DataFrame, series: Sequence[str], order_by: Sequence[str],
     return wide.select(*series, F.explode(F.array(*cells)).alias("e")).select(*series, "e.*")
 
 
-def fold_of(ts: str, folds: Sequence[Fold]) -> Column:
+def fold_of(df: DataFrame, ts: str, folds: Sequence[Fold]) -> Column:
     """The folds (array) whose forecast range holds the row."""
-    return F.array_compact(F.array(*[F.when((F.col(ts) >= F.lit(f.cutoff)) & (F.col(ts) < F.lit(f.end)), F.lit(f.number)) for f in folds]))
+    kind = df.schema[ts].dataType
+
+    def inside(f: Fold) -> Column:
+        return (F.col(ts) >= literal(f.cutoff, kind)) & (F.col(ts) < literal(f.end, kind))
+
+    return F.array_compact(F.array(*[F.when(inside(f), F.lit(f.number)) for f in folds]))
 
 
 def backtest(
@@ -69,7 +78,7 @@ def backtest(
 ) -> DataFrame:
     """Forecast rows (series, time, fold, y_true, naive, mean) for every fold."""
     origins = origin_table(df, series, order_by, ts, y, folds).filter(F.col("n_history") >= min_history)
-    tested = df.withColumn("fold", F.explode(fold_of(ts, folds)))
+    tested = df.withColumn("fold", F.explode(fold_of(df, ts, folds)))
     return tested.join(origins, [*series, "fold"]).select(
         *dict.fromkeys([*series, *order_by]), "fold", F.col(y).alias("y_true"), F.col("last_value").alias("naive"), F.col("mean_value").alias("history_mean")
     )

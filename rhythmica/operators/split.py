@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rhythmica.functions.calendar import literal
 from rhythmica.operators.layout import Layout, keys_at, plan_layout, with_position
 
 
@@ -24,18 +25,20 @@ def temporal_split(
     comparison with them, without a shuffle.
     """
     at_val, at_test = keys_at(df, order_by, lambda n: split_points(n, train, validation))
-    test_or_later = _at_or_after(order_by, at_test)
-    val_or_later = _at_or_after(order_by, at_val)
+    test_or_later = _at_or_after(df, order_by, at_test)
+    val_or_later = _at_or_after(df, order_by, at_val)
     return df.withColumn(name, F.when(test_or_later, "test").when(val_or_later, "val").otherwise("train"))
 
 
-def _at_or_after(order_by: Sequence[str], key: dict | None) -> Column:
+def _at_or_after(df: DataFrame, order_by: Sequence[str], key: dict | None) -> Column:
+    """Lexicographic comparison of the order columns with a key; rows before it are false or null."""
     if key is None:
         return F.lit(False)
+    bound = {c: literal(key[c], df.schema[c].dataType) for c in order_by}
     *front, last = order_by
-    cond = F.col(last) >= F.lit(key[last])
+    cond = F.col(last) >= bound[last]
     for c in reversed(front):
-        cond = (F.col(c) > F.lit(key[c])) | ((F.col(c) == F.lit(key[c])) & cond)
+        cond = (F.col(c) > bound[c]) | ((F.col(c) == bound[c]) & cond)
     return cond
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rhythmica.forecast import trees
 from rhythmica.functions import metrics as M
+from rhythmica.functions.calendar import literal
 from rhythmica.operators import features, leaderboard, profile, split, validate
 from rhythmica.plans.registry import (
     FORECAST_SQL,
@@ -187,8 +188,8 @@ def _(spark, sf):
     span = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     edges = [span["a"] + (span["b"] - span["a"]) * k / 4 for k in range(4)]
     for k, start in enumerate(edges):
-        part = ev.filter(F.col("ts") >= F.lit(start))
-        part = part.filter(F.col("ts") < F.lit(edges[k + 1])) if k < 3 else part
+        part = ev.filter(F.col("ts") >= literal(start, ev.schema["ts"].dataType))
+        part = part.filter(F.col("ts") < literal(edges[k + 1], ev.schema["ts"].dataType)) if k < 3 else part
         part.coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream = jobs.file_stream(spark, f"{base}/in", ev, "*.parquet", max_files=1)
     jobs.run_to_end(jobs.online_lags(stream, ["user_id"], ["ts", "event_id"], "value", [1, 3], f"{base}/out", f"{base}/state", f"{base}/checkpoint"))
