@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rhythmica.functions.metrics import quantile_levels
+from rhythmica.operators.joins import join_per_group
 from rhythmica.operators.layout import BEFORE, BLOCK, TOTAL, Layout, plan_layout
 from rhythmica.operators.quantiles import exact_quantiles
 from rhythmica.session import settled
@@ -146,6 +147,6 @@ class AdditiveModel:
         if self.coefs is None:
             raise ValueError("fit the model first")
         keys = list(self.series)
-        rows = self._rows(df, with_y=False).join(self.coefs.drop("n"), keys).join(self.bands, keys, "left")
+        rows = join_per_group(self._rows(df, with_y=False), self.coefs.drop("n").join(self.bands, keys, "left"), keys)
         out = self._apply(rows).withColumns({"yhat_lower": F.col("yhat") + F.col("q_low"), "yhat_upper": F.col("yhat") + F.col("q_high")})
         return out.select(*df.columns, "yhat", "yhat_lower", "yhat_upper")

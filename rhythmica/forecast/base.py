@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rhythmica.forecast.regression import predict_linear
+from rhythmica.operators.joins import join_per_group
 
 
 @runtime_checkable
@@ -35,7 +36,7 @@ def score_with_table(df: DataFrame, models: DataFrame, series: Sequence[str], xs
 
     Rows of series without a model keep a null prediction.
     """
-    joined = df.join(models.select(*series, "coef", "intercept"), list(series), "left")
+    joined = join_per_group(df, models.select(*series, "coef", "intercept"), series, "left")
     return joined.withColumn(name, predict_linear("coef", "intercept", xs)).drop("coef", "intercept")
 
 

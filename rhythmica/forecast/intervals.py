@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rhythmica.functions.metrics import quantile_levels
+from rhythmica.operators.joins import join_per_group
 from rhythmica.operators.quantiles import exact_quantiles
 
 
@@ -18,7 +19,7 @@ def spread_interval(df: DataFrame, p: str, by: Sequence[str] = ()) -> DataFrame:
     """
     half = F.lit(1.96) * F.col("_sd")
     if by:
-        out = df.join(df.groupBy(*by).agg(F.stddev_pop(p).alias("_sd")), list(by))
+        out = join_per_group(df, df.groupBy(*by).agg(F.stddev_pop(p).alias("_sd")), by)
     else:
         out = df.withColumn("_sd", df.agg(F.stddev_pop(p)).scalar())
     return out.withColumns({"lower": F.col(p) - half, "upper": F.col(p) + half}).drop("_sd")
@@ -34,7 +35,7 @@ def residual_quantiles(df: DataFrame, y: str, p: str, by: Sequence[str], confide
 def residual_interval(df: DataFrame, history: DataFrame, y: str, p: str, by: Sequence[str], confidence: float = 0.95) -> DataFrame:
     """Forecast plus residual quantiles measured on a table of past forecasts."""
     bands = residual_quantiles(history, y, p, by, confidence)
-    return df.join(bands, list(by), "left").withColumns(
+    return join_per_group(df, bands, by, "left").withColumns(
         {"lower": F.col(p) + F.col("q_low"), "upper": F.col(p) + F.col("q_high")}
     ).drop("q_low", "q_mid", "q_high")
 

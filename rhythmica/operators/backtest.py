@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rhythmica.functions.calendar import literal
+from rhythmica.operators.joins import join_per_group
 
 
 @dataclass(frozen=True)
@@ -79,6 +80,6 @@ def backtest(
     """Forecast rows (series, time, fold, y_true, naive, mean) for every fold."""
     origins = origin_table(df, series, order_by, ts, y, folds).filter(F.col("n_history") >= min_history)
     tested = df.withColumn("fold", F.explode(fold_of(df, ts, folds)))
-    return tested.join(origins, [*series, "fold"]).select(
+    return join_per_group(tested, origins, [*series, "fold"]).select(
         *dict.fromkeys([*series, *order_by]), "fold", F.col(y).alias("y_true"), F.col("last_value").alias("naive"), F.col("mean_value").alias("history_mean")
     )

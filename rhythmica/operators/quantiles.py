@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rhythmica.operators.joins import join_per_group
 from rhythmica.operators.layout import BEFORE, TOTAL, plan_layout, rows_per_block
 from rhythmica.session import settled
 
@@ -36,8 +37,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], column: str, probs: Sequen
     return _pick(present, by, probs, names, present.groupBy(*by).agg(_bracket("_v", probs).alias("_ends")))
 
 
-def _pick(present: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str], brackets: DataFrame) -> DataFrame:
-    tally = settled(_bracketed_tally(present, by, probs, brackets), "tally")
+def _pick(present: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str], brackets: DataFrame, few_groups: bool = False) -> DataFrame:
+    tally = settled(_bracketed_tally(present, by, probs, brackets, few_groups), "tally")
     order = ("_region", "_v")
     layout = plan_layout(tally, by, order, weight="_w")
     below = layout.window().rowsBetween(Window.unboundedPreceding, -1)
@@ -77,7 +78,7 @@ def _bracket(column: str, probs: Sequence[float]) -> Column:
     return F.when(F.count(column) >= BRACKET_FROM, F.percentile_approx(column, _bracket_ends(probs), ACCURACY))
 
 
-def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[float], brackets: DataFrame) -> DataFrame:
+def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[float], brackets: DataFrame, few_groups: bool) -> DataFrame:
     """Counts per (group, region, value); rows between brackets have no value and one count per gap.
 
     ``_region`` numbers the intervals between the sorted bracket ends, so (region, value) is the value
@@ -85,14 +86,12 @@ def _bracketed_tally(present: DataFrame, by: Sequence[str], probs: Sequence[floa
     """
     ends = _bracket_ends(probs)
     brackets = settled(brackets, "brackets")  # written once, so that every job sees the same brackets
-    if by:
-        renamed = brackets.withColumnsRenamed({c: f"_t_{c}" for c in by})
-        match = F.lit(True)
-        for c in by:
-            match = match & present[c].eqNullSafe(renamed[f"_t_{c}"])
-        rows = present.join(renamed, match).drop(*[f"_t_{c}" for c in by])
-    else:
+    if not by:
         rows = present.withColumn("_ends", brackets.scalar())
+    elif few_groups:
+        rows = present.join(F.broadcast(brackets), list(by), "left")  # one row per named column
+    else:
+        rows = join_per_group(present, brackets, by, "left")
     region, kept = F.lit(0), F.col("_ends").isNull()
     for i in range(len(ends)):
         region = region + F.coalesce((F.col("_ends")[i] < F.col("_v")).cast("int"), F.lit(0))
@@ -118,7 +117,7 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     wide = numbers.agg(*[_bracket(c, probs).alias(c) for c in columns])
     brackets = _one_row_per_column(wide, columns)
     present = long_form(df, columns).select("column", F.col("value").alias("_v")).filter(F.col("_v").isNotNull())
-    return _pick(present, ["column"], probs, names, brackets)
+    return _pick(present, ["column"], probs, names, brackets, few_groups=True)
 
 
 def _one_row_per_column(wide: DataFrame, columns: Sequence[str]) -> DataFrame:

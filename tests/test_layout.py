@@ -5,6 +5,7 @@ from conftest import ORDER, by_id
 from pyspark.sql import functions as F
 
 from rhythmica.operators import features, fill
+from rhythmica.operators.joins import join_per_group
 from rhythmica.operators.layout import keys_at, plan_layout, with_position, with_windows
 
 
@@ -126,3 +127,12 @@ def test_nth_difference(spark):
     got = [r["d"] for r in with_windows(df, [], ["t"], lambda w: {"d": features.nth_difference("y", 2, w)}, 2).orderBy("t").collect()]
     assert got == [None, None, 2.0, 2.0, 2.0]
     assert features.difference_weights(1, 1, 4) == {0: 1.0, 1: -1.0, 4: -1.0, 5: 1.0}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_per_group_splits_large_groups(spark, panel, panel_pdf, small_blocks, how):
+    table = spark.createDataFrame([("hot", 1.0), ("tiny", 2.0), ("nowhere", 3.0)], "series string, x double")
+    got = join_per_group(panel, table, ["series"], how).groupBy("series", "x").count().collect()
+    sizes = panel_pdf.groupby("series").size()
+    want = {("hot", 1.0, sizes["hot"]), ("tiny", 2.0, sizes["tiny"])} | ({("mid", None, sizes["mid"])} if how == "left" else set())
+    assert {tuple(r) for r in got} == want

@@ -112,3 +112,19 @@ def test_sketched_robust_scaler_is_close(numbers):
     rough = scale.RobustScaler(["b"], exact=False).fit(df).params["b"]
     exact = scale.RobustScaler(["b"]).fit(df).params["b"]
     np.testing.assert_allclose(rough, exact, rtol=0.1)
+
+
+def test_brackets_hold_every_rank_of_large_groups(spark, small_blocks):
+    # above the size from which groups are bracketed; one group holds most rows, values repeat
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("s"), (F.floor(F.pow(F.rand(5), 3) * 5000) / 7).alias("y")
+    )
+    rows = df.toPandas()
+    frozen = spark.createDataFrame(rows)
+    spark.conf.set("spark.rhythmica.rowsPerBlock", "2000")
+    probs, names = [0.0, 0.01, 0.25, 0.5, 0.975, 1.0], list("uvwxyz")
+    for by in (["s"], []):
+        got = exact_quantiles(frozen, by, "y", probs, names).collect()
+        for r in got:
+            part = rows[rows.s == r["s"]] if by else rows
+            np.testing.assert_allclose([r[n] for n in names], np.quantile(part["y"], probs), rtol=1e-12)
