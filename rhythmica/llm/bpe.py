@@ -32,10 +32,12 @@ from rhythmica.llm.common import slices, text_of
 #: Pieces of more bytes take the steps that contract all occurrences at once.
 LONG = 64
 #: Distinct words whose tokens a task remembers, and distinct pieces for one query.
-REMEMBERED = 500_000
-AT_ONCE = 100_000
+REMEMBERED = 300_000
+AT_ONCE = 25_000
+#: Bytes of text that a task works on at a time (a longer text is worked on alone).
+SLICE = 1_000_000
 #: Tokens for one decoding query (a longer text is decoded in one query of its own).
-TOKENS_AT_ONCE = 1_000_000
+TOKENS_AT_ONCE = 250_000
 
 STEPS = """
 WITH RECURSIVE s AS (
@@ -186,19 +188,22 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit numbers)."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_decoded: bool = False) -> DataFrame:
+    """Per row: doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit numbers); ``with_decoded``
+    decodes the ids again in the same task and adds their bytes."""
     rows = text_of(docs, id_col, text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part, texts in slices(batches):
+        for part, texts in slices(batches, most=SLICE):
             ids = own.encode([t.decode() for t in texts])
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-            )
+            columns = {"doc_id": part.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            if with_decoded:
+                columns["decoded"] = pa.array(own.decode(ids), pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids binary" + ", decoded binary" * with_decoded)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

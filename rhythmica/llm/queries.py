@@ -33,10 +33,9 @@ def op7(spark, sf_dir):
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = bpe.encode(load(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(tokens, path, pattern).select(
+    return bpe.encode(load(spark, sf_dir, "documents"), path, pattern, with_decoded=True).select(
         "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
