@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bpe
+from rhythmica.llm import bpe, ctw
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,14 @@ def op7(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def remainder(modulus: int):
+    """crc32 of the id's text by ``modulus``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op5_context_tree_weighting")
+def op5(spark, sf_dir):
+    scored = ctw.score(load(spark, sf_dir, "documents"), remainder(10) != 0)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
