@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bpe, ctw
+from rhythmica.llm import bagminhash, bpe, ctw
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def remainder(modulus: int):
 def op5(spark, sf_dir):
     scored = ctw.score(load(spark, sf_dir, "documents"), remainder(10) != 0)
     return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_bagminhash_near_dedup")
+def op8(spark, sf_dir):
+    return bagminhash.near_classes(load(spark, sf_dir, "documents"))
