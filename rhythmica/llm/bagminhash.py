@@ -12,12 +12,15 @@ probability equal to their weighted Jaccard. Points are made up to a horizon aft
 are filled; texts with open slots go on with a doubled horizon, so the signature does not depend on it.
 
 Jobs. Equal texts are collapsed first, by their SHA-256. Slots make bands; each band's bucket links its
-members to the smallest one (a star, never all pairs). Pairs that agree in two bands at least are verified
-on their whole texts, and components of verified links give first classes. Then members of a bucket that
-fell into different classes are compared as well, so that no link that the bands found is lost; texts of
-one class are never compared again.
+members to the smallest one (a star, never all pairs), and components of the stars are neighbourhoods: any
+two texts that share a band are in one. Neighbourhoods are dealt into blocks of about 64 texts, and a block
+compares its texts exactly, on their whole multisets; verified links give classes. Neighbourhoods of one
+block are then done. Larger ones are dealt anew twice, with their smallest member in every block, which
+gathers most of a real group into one class in linear time; at last every text outside its neighbourhood's
+largest class meets all blocks, a block at a time in memory, so that no pair of different classes stays
+uncompared.
 
-Chance of missing a pair of similarity 0.8 exactly (agreeing in fewer than 2 of 32 bands of 5): 5e-5.
+Chance that a pair of similarity 0.8 exactly shares none of 32 bands of 5, and so may be missed: 3e-6.
 
 Defined results: null texts and texts without words are linked only to equal texts (null to none);
 repeated rows fall into one class; a null doc_id has a null class; further columns are ignored; an empty
@@ -33,15 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.llm.common import join_one, slices, splitmix, text_of
+from rhythmica.llm.common import join_one, runs, slices, splitmix, text_of
 from rhythmica.llm.components import components
 from rhythmica.session import settled
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
-#: Bands in which a pair must agree to be verified.
-AGREE = 2
+#: Texts in a block, and rounds of dealing large neighbourhoods into blocks anew.
+BLOCK, TURNS = 64, 3
 SLICE = 2_000_000
 
 _SPACE = np.zeros(256, bool)
@@ -176,65 +179,133 @@ def banded(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = W
     return source.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest string, bands array<bigint>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """Of pairs (a, b) of ids, with b possibly shared by very many, those whose texts are similar enough."""
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    left = settled(left, "pairs")
-    both = join_one(left, texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b", F.xxhash64("a"))
+class Postings:
+    """The shingles of a block of texts, to compare one more text with all of them at once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_id = known = None
-        for part, text_a in slices(batches, "text_a", SLICE):
-            text, shingle, count = multisets(text_a, words)
-            ends = np.searchsorted(text, np.arange(len(text_a) + 1))
-            near = []
-            for i, (b, text_b) in enumerate(zip(part.column("b").to_pylist(), part.column("text_b"), strict=True)):
-                if b != known_id:
-                    known_id, known = b, multisets([text_b.as_py().encode()], words)[1:]
-                near.append(similarity((shingle[ends[i] : ends[i + 1]], count[ends[i] : ends[i + 1]]), known))
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(near, pa.float64())], ["a", "b", "similarity"])
+    def __init__(self, texts: list[bytes], words: int = WORDS):
+        text, shingle, count = multisets(texts, words)
+        order = np.argsort(shingle, kind="stable")
+        self.shingle, self.text, self.count = shingle[order], text[order], count[order]
+        self.totals = np.bincount(text, count, len(texts))
+
+    def similar(self, shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard with every text of the block."""
+        low, high = np.searchsorted(self.shingle, shingle, "left"), np.searchsorted(self.shingle, shingle, "right")
+        found = high - low
+        at = np.arange(found.sum()) - np.repeat(np.cumsum(found) - found, found) + np.repeat(low, found)
+        shared = np.bincount(self.text[at], np.minimum(self.count[at], np.repeat(count, found)), len(self.totals))
+        return shared / np.maximum(1, self.totals + count.sum() - shared)
+
+
+class Classes:
+    """Union-find over whatever names it is given."""
+
+    def __init__(self):
+        self.above: dict = {}
+
+    def top(self, x):
+        while self.above.setdefault(x, x) != x:
+            self.above[x] = x = self.above[self.above[x]]
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether they were apart."""
+        x, y = self.top(x), self.top(y)
+        self.above[max(x, y)] = min(x, y)
+        return x != y
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double").where(F.col("similarity") >= least)
 
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def linked_in_blocks(least: float, words: int):
+    """Rows (unit, role, rep, class, text), sorted by unit and role: residents (role 0) of a unit are compared
+    with each other or, where guests (role 1) follow, guests with residents. Yields links that connect what
+    was apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, own in runs(batches, "unit"):
+            reps, names, texts, block, classes, links = [], [], [], None, Classes(), []
+            for batch in own:
+                guests = batch.column("role").to_numpy(zero_copy_only=False) == 1
+                n = int((~guests).sum())
+                residents = batch.slice(0, n)
+                reps += residents.column("rep").to_pylist()
+                names += residents.column("class").to_pylist()
+                texts += [t.encode() for t in residents.column("text").to_pylist()]
+                if not guests.any():
+                    continue
+                block = block or Postings(texts, words)
+                for part, more in slices([batch.slice(n)], most=SLICE):
+                    links += compared(block, reps, names, part.column("rep").to_pylist(), part.column("class").to_pylist(), more, classes, least, words)
+            if block is None and len(reps) > 1:
+                links = compared(Postings(texts, words), reps, names, reps, names, texts, classes, least, words)
+            if links:
+                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in links], LINK)
+
+    return run
+
+
+def compared(block: Postings, reps, names, guests, guest_names, texts, classes: Classes, least: float, words: int) -> list[tuple[int, int]]:
+    text, shingle, count = multisets(texts, words)
+    ends = np.searchsorted(text, np.arange(len(texts) + 1))
+    out = []
+    for i, (guest, name) in enumerate(zip(guests, guest_names, strict=True)):
+        near = block.similar(shingle[ends[i] : ends[i + 1]], count[ends[i] : ends[i + 1]])
+        out += [(guest, reps[j]) for j in np.flatnonzero(near >= least) if classes.join(name, names[j])]
+    return out
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """Per row: doc_id, class_id (the smallest doc_id of its class), kept (whether it is that one)."""
     source = text_of(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    signed = settled(banded(source), "signed")
+    signed = settled(banded(source, words=words), "signed")
     known = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
     # one representative for each text
     firsts = signed.where(known).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
     firsts = settled(firsts, "texts")
+
+    # neighbourhoods: what shares a bucket, directly or through others; a bucket is a star around its smallest member
     bands = firsts.where("bands IS NOT NULL").select("rep", F.explode("bands").alias("bucket"))
     buckets = bands.groupBy("bucket").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "least")
     shared = settled(bands.join(buckets.select("bucket"), "bucket", "left_semi"), "buckets")
-    stars = join_one(shared, buckets, "bucket", F.xxhash64("rep")).where("rep <> least").groupBy(F.col("rep").alias("a"), F.col("least").alias("b")).agg(F.count(F.lit(1)).alias("found"))
-    pairs = settled(agreeing(stars.select("a", "b"), firsts), "stars")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = settled(source.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    links = settled(verified(pairs, texts), "links")
-    classes = settled(components(links), "classes")
-
-    # members of one bucket that are in different classes so far
-    member = shared.join(classes, shared["rep"] == classes["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("class"))
-    member = settled(member, "members")
-    mixed = member.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    member = settled(member.join(mixed, "bucket", "left_semi"), "members")
-    other = member.select("bucket", F.col("rep").alias("b"), F.col("class").alias("class_b"))
-    cross = member.join(other, "bucket").where("class > class_b").select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
-    cross = settled(agreeing(cross.join(pairs, ["a", "b"], "left_anti"), firsts), "cross")
-    wanted = cross.select(F.col("a").alias("doc_id")).union(cross.select("b")).distinct()
-    texts = settled(source.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    links = links.select("a", "b").union(verified(cross, texts).select("a", "b"))
-    classes = settled(components(links), "classes")
+    stars = join_one(shared, buckets, "bucket", F.xxhash64("rep")).select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    places = settled(components(stars), "neighbourhoods")
+    sizes = places.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    places = join_one(places, sizes, "component", F.xxhash64("node")).select(F.col("node").alias("rep"), F.col("component").alias("place"), "blocks")
+    members = firsts.select("digest", "rep").join(places, "rep").select("digest", F.col("rep").alias("doc_id"), "place", "blocks")
+    # the texts meet their members in a sort-merge join whatever the sizes
+    texts = source.withColumn("digest", F.sha2("text", 256)).join(members.hint("merge"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    texts = settled(texts.select(F.col("doc_id").alias("rep"), "place", "blocks", "text"), "members")
+
+    def compare(rows: DataFrame) -> DataFrame:
+        units = rows.select(F.xxhash64("place", "block").alias("unit"), "role", "rep", "class", "text")
+        found = units.repartition("unit").sortWithinPartitions("unit", "role").mapInArrow(linked_in_blocks(least, words), "a bigint, b bigint")
+        return settled(found, "links")
+
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    links = None
+    for turn in range(TURNS):  # the neighbourhood's smallest member sits in all its blocks
+        own = F.array(F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("blocks")).cast("int"))
+        rows = texts.where("blocks > 1") if turn else texts
+        blocks = F.explode(F.when(F.col("rep") == F.col("place"), every).otherwise(own)).alias("block")
+        found = compare(rows.select("place", blocks, F.lit(0).alias("role"), "rep", F.col("rep").alias("class"), "text"))
+        links = found if links is None else links.unionByName(found)
+        classes = settled(components(links), "classes")
+        large = texts.where("blocks > 1").select("rep", "place", "blocks", "text")
+        if large.isEmpty():
+            break
+    else:  # what is not in its neighbourhood's largest class meets all blocks
+        large = settled(large.join(classes, large["rep"] == classes["node"], "left").select(*large.columns, F.coalesce("component", "rep").alias("class")), "large")
+        counts = large.groupBy("place", "class").agg(F.count(F.lit(1)).alias("n"))
+        most = counts.groupBy("place").agg(F.max(F.struct("n", "class"))["class"].alias("main"))
+        large = join_one(large, most, "place", F.xxhash64("rep"))
+        own = F.pmod(F.xxhash64("rep", F.lit(0)), F.col("blocks")).cast("int").alias("block")
+        residents = large.select("place", own, F.lit(0).alias("role"), "rep", "class", "text")
+        guests = large.where("class <> main").select("place", F.explode(every).alias("block"), F.lit(1).alias("role"), "rep", "class", "text")
+        links = links.unionByName(compare(residents.unionByName(guests)))
+        classes = settled(components(links), "classes")
 
     final = firsts.join(classes, firsts["rep"] == classes["node"], "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = join_one(signed.select("doc_id", F.when(known, F.col("digest")).alias("digest")), final, "digest", F.xxhash64("doc_id"), "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
-
-
-def agreeing(pairs: DataFrame, firsts: DataFrame, least: int = AGREE) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in ``least`` bands."""
-    left = settled(pairs.join(firsts.select(F.col("rep").alias("a"), F.col("bands").alias("bands_a")), "a"), "pairs")
-    both = join_one(left, firsts.select(F.col("rep").alias("b"), F.col("bands").alias("bands_b")), "b", F.xxhash64("a"))
-    return both.where(F.size(F.array_intersect("bands_a", "bands_b")) >= least).select("a", "b")

@@ -44,6 +44,31 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 4_
             start = stop
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Sorted batches as one stream per value of ``key``."""
+    def pieces():
+        for batch in batches:
+            values = batch.column(key).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1), len(values)] if len(values) else [0]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield int(values[a]), batch.slice(a, b - a)
+
+    stream = pieces()
+    held = next(stream, None)
+    while held is not None:
+        now = held[0]
+
+        def own():
+            nonlocal held
+            while held is not None and held[0] == now:  # noqa: B023
+                yield held[1]
+                held = next(stream, None)
+
+        yield now, own()
+        while held is not None and held[0] == now:
+            held = next(stream, None)
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A 64-bit mixing step, on unsigned integers."""
     with np.errstate(over="ignore"):

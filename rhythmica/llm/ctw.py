@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.llm.common import slices, splitmix
+from rhythmica.llm.common import runs, slices, splitmix
 from rhythmica.session import settled
 
 #: Longest context in bytes (an n-gram with its coming byte fits 64 bits: at most 7).
@@ -289,32 +289,6 @@ def words_of(text: bytes) -> list[bytes]:
     return [*text.translate(LOWER).split(), b""]
 
 
-def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
-    """Sorted batches as one stream per value of ``key``."""
-
-    def pieces():
-        for batch in batches:
-            values = batch.column(key).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1), len(values)] if len(values) else [0]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield int(values[a]), batch.slice(a, b - a)
-
-    stream = pieces()
-    held = next(stream, None)
-    while held is not None:
-        now = held[0]
-
-        def own():
-            nonlocal held
-            while held is not None and held[0] == now:  # noqa: B023
-                yield held[1]
-                held = next(stream, None)
-
-        yield now, own()
-        while held is not None and held[0] == now:
-            held = next(stream, None)
-
-
 def emit(rows: list[tuple], names: tuple[str, ...], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
