@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bagminhash, bpe, ctw
+from rhythmica.llm import bagminhash, bpe, ctw, packing, quality, sharding, toxicity, vafile
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,42 @@ def op5(spark, sf_dir):
 @query("op8_bagminhash_near_dedup")
 def op8(spark, sf_dir):
     return bagminhash.near_classes(load(spark, sf_dir, "documents"))
+
+
+@query("op4_quadratic_quality")
+def op4(spark, sf_dir):
+    scored = quality.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), remainder(4) != 2)
+    return scored.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op10_toxicity_chain")
+def op10(spark, sf_dir):
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op1_best_fit_packing")
+def op1(spark, sf_dir):
+    return packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
+@query("op2_balanced_label_propagation")
+def op2(spark, sf_dir):
+    placed = sharding.balanced_shards(load(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# floor(256 * x) as whole numbers; the SQL scores every pair
+TOP_5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
+@query("op9_vector_approximation_top_k", TOP_5)
+def op9(spark, sf_dir):
+    return vafile.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
