@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bagminhash, bpe, ctw, packing, quality, sharding, toxicity, vafile
+from rhythmica.llm import bagminhash, bpe, ctw, flatgraph, packing, quality, sharding, toxicity, vafile, warc
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,31 @@ FROM s QUALIFY rank <= 5"""
 @query("op9_vector_approximation_top_k", TOP_5)
 def op9(spark, sf_dir):
     return vafile.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+# what the archives must give back, from the pages themselves
+WARC_ROWS = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+FROM f"""
+
+
+@query("op3_warc_capture_index", WARC_ROWS)
+def op3(spark, sf_dir):
+    return warc.archive_and_read(load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_flat_graph_near_dedup")
+def op6(spark, sf_dir):
+    return flatgraph.near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
