@@ -5,12 +5,12 @@ per shard); each goes to its OVERLAP nearest ones. Each shard builds a graph: ve
 batches that double, a batch searches the graph so far from the medoid, and its candidates are pruned
 robustly (a candidate closer by ALPHA to a chosen neighbour is dropped). The lists of a vector from all its
 shards are united. Every vector is then searched for in its shards, on the united lists: greedily from the
-medoid, and from everything near the limit on, until no such neighbour is left unread. Links are verified
+medoid, and from everything near the limit on, along the lists in both directions, until no such neighbour is left unread. Links are verified
 in double precision. A link that two shards share is counted in the first of them.
 
 Equal vectors of a label are collapsed first, so a group of copies of any size is one node; of a shard's
 links only their counts and a spanning forest leave the task. A sample of queries is compared with all
-vectors (the audit); below MEASURED recall the search is repeated with twice the beam.
+vectors (the audit); below MEASURED recall all is repeated with twice the overlap and beam, up to ATTEMPTS times.
 
 Bounds: centroids are at most about 2 * CENTROIDS in all (shards grow beyond that) and travel with the job.
 
@@ -32,13 +32,13 @@ from rhythmica.llm.components import components
 from rhythmica.session import settled
 
 LIMIT = 0.93
-SHARD, OVERLAP, SAMPLE = 1500, 2, 64
+SHARD, OVERLAP, SAMPLE = 400, 2, 64
 CENTROIDS = 65_536
 DEGREE, BEAM, ALPHA = 24, 32, 1.2
 #: Neighbours this far below the limit are still expanded.
 SLACK = 0.06
 BATCH = 256
-AUDIT, MEASURED = 256, 0.95
+AUDIT, MEASURED, ATTEMPTS = 256, 0.95, 4
 
 
 class Graph:
@@ -91,10 +91,9 @@ class Graph:
             if not len(row):
                 return near
             done[row, node] = True
-            found = self.lists[node]
-            row, found = np.repeat(row, found.shape[1]), found.ravel()
-            fresh = found < self.n
-            place = np.unique(row[fresh] * self.n + found[fresh])
+            sizes = self.ends[node + 1] - self.ends[node]
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.ends[node], sizes)
+            place = np.unique(np.repeat(row, sizes) * self.n + self.both_ways[at])
             row, found = place // self.n, place % self.n
             fresh = near[row, found] == -2.0
             row, found = row[fresh], found[fresh]
@@ -103,6 +102,14 @@ class Graph:
                 near[row[part], found[part]] = np.einsum("rd,rd->r", self.x[found[part]], queries[row[part]])
             open_ = near >= limit
 
+    def turn(self) -> None:
+        """Neighbours in both directions: vectors that no list names are found through those they name."""
+        from_, slot = np.nonzero(self.lists[: self.n] < self.n)
+        to = self.lists[from_, slot]
+        edges = np.unique(np.concatenate([from_ * self.n + to, to * self.n + from_]))
+        self.both_ways = edges % max(1, self.n)
+        self.ends = np.searchsorted(edges, np.arange(self.n + 1) * self.n)
+
     def prune(self, node: int, candidates: np.ndarray) -> None:
         """Robust pruning: the nearest stays, and drops what is closer to it than to the node by ALPHA."""
         candidates = np.unique(candidates)
@@ -226,6 +233,7 @@ def _searched(limit: float, beam: int):
         graph = Graph(x, max([1, *map(len, lists)]), beam)
         for i, near in enumerate(lists):
             graph.lists[i, : len(near)] = near
+        graph.turn()
         first: dict[int, int] = {}
         shards = table["shards"].to_pylist()
         code = [tuple(sorted(s)) for s in shards]
@@ -291,18 +299,18 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
     widths = rows.groupBy("label", F.size("v").alias("w")).count().groupBy("label").agg(F.max_by("w", F.struct("count", "w")).alias("w"))
     groups = rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n"))
     nodes = settled(groups.join(widths, "label").where(F.size("v") == F.col("w")).select("label", "v", "node", "n"), "nodes")
-    dealt = settled(in_shards(nodes, SHARD, OVERLAP).withColumn("shard", F.explode("shards")), "shards")
-    lists = dealt.groupBy("label", "shard").applyInArrow(_built, "node bigint, near array<bigint>")
-    united = settled(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "lists")
-    ready = settled(dealt.join(united, "node"), "graph")
-    beam = BEAM
-    for _ in range(3):
+    overlap, beam = OVERLAP, BEAM
+    for _ in range(ATTEMPTS):
+        dealt = settled(in_shards(nodes, SHARD, overlap).withColumn("shard", F.explode("shards")), "shards")
+        lists = dealt.groupBy("label", "shard").applyInArrow(_built, "node bigint, near array<bigint>")
+        united = settled(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "lists")
+        ready = dealt.join(united, "node")
         found = settled(ready.groupBy("label", "shard").applyInArrow(_searched(limit, beam), "node bigint, links bigint, joined bigint"), "found")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         recall = audit(nodes, links, limit)
         if recall >= MEASURED:
             break
-        beam *= 2
+        overlap, beam = 2 * overlap, 2 * beam
     classes = components(found.where("node <> joined"), "node", "joined")
     of_node = nodes.select("label", "v", "node", "n").join(links, "node").join(classes, "node", "left")
     of_node = of_node.select("label", "v", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))

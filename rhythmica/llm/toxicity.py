@@ -1,8 +1,7 @@
 """Toxicity by a chain of linear classifiers.
 
 Features of a text: the distinct words (letters, lower-cased) and the heads of 4, 5 and 6 letters of longer
-words, since abuse is inflected. Of all features of the labelled texts, counted by Spark without a sample,
-those that mark toxic texts best make a vocabulary of VOCABULARY at most (by the likelihood ratio
+words, since abuse is inflected. Of all features of the training texts, counted by Spark, those that mark toxic texts best make a vocabulary of VOCABULARY at most (by the likelihood ratio
 of their counts). A text is the set of vocabulary features it has.
 
 Categories, in the order of the chain, each a 0/1 target of a labelled text:
@@ -11,8 +10,8 @@ or more marking features, ``toxic`` the label itself. Each has an L2-penalised l
 features and the log odds of all earlier categories. Those log odds are out-of-fold while fitting: a text's
 come from models that were not fitted on its fold. Scoring feeds the chain with the full models.
 
-The models are fitted on the driver on at most SAMPLE labelled texts of each label (those with the smallest
-id hashes); everything else covers all rows.
+Vocabulary and models are fitted on at most SAMPLE labelled documents of each label (those with the smallest
+id hashes); the models on the driver, from the texts' feature numbers. Scoring covers all rows.
 
 Defined results: null and empty texts have no features, and get the models' offsets; repeated rows give
 repeated rows; of several labels of a document the smallest counts; without texts of both labels every
@@ -55,7 +54,10 @@ def features(text: bytes) -> set[str]:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
-    return text_of(docs).join(label_of(labels, column).where("label IN (0, 1)"), "doc_id").select("doc_id", "text", "label")
+    """The texts of SAMPLE documents of each label at most. Their ids are broadcast, so no text is shuffled."""
+    known = settled(label_of(labels, column).where("label IN (0, 1)"), "labels")
+    chosen = [known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for label in (0, 1)]
+    return text_of(docs).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("doc_id", "text", "label")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +189,7 @@ def score(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold:
                 yield pa.RecordBatch.from_arrays([part.column("place"), part.column("label"), pa.array([finder(t) for t in texts], pa.list_(pa.int64()))], ["place", "label", "found"])
 
         place = labelled.select(F.xxhash64("doc_id", "text").alias("place"), "label", "text")
-        sample = [r for label in (0, 1) for r in place.where(F.col("label") == label).mapInArrow(found, "place bigint, label int, found array<bigint>").orderBy("place").limit(SAMPLE).collect()]
+        sample = [r for label in (0, 1) for r in place.where(F.col("label") == label).mapInArrow(found, "place bigint, label int, found array<bigint>").orderBy("place").collect()]
         x = Sparse([r.found for r in sample], len(chosen))
         toxic = np.array([r.label for r in sample], float)
         marks = np.array([name[0] == "=" and odds >= np.log(MARKS) for name, odds in chosen], float)
