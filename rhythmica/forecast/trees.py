@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rhythmica.functions import metrics as M
@@ -26,13 +27,17 @@ class TreeForecaster:
     model: PipelineModel | None = None
 
     def fit(self, df: DataFrame) -> TreeForecaster:
-        assembler = VectorAssembler(inputCols=list(self.features), outputCol="features", handleInvalid="skip")
-        return TreeForecaster(self.features, self.target, self.learner, Pipeline(stages=[assembler, self.learner]).fit(df))
+        """Rows with a missing feature or target teach nothing."""
+        assembler = VectorAssembler(inputCols=list(self.features), outputCol="features", handleInvalid="keep")
+        known = df.where(complete(self.features) & complete([self.target]))
+        return TreeForecaster(self.features, self.target, self.learner, Pipeline(stages=[assembler, self.learner]).fit(known))
 
     def predict(self, df: DataFrame) -> DataFrame:
+        """All rows; those with a missing feature get a null prediction."""
         if self.model is None:
             raise ValueError("fit the model first")
-        return self.model.transform(df).drop("features")
+        scored = self.model.transform(df).drop("features")
+        return scored.withColumn("prediction", F.when(complete(self.features), F.col("prediction")))
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """One row per feature, most important first."""
@@ -42,6 +47,14 @@ class TreeForecaster:
         self.model.write().overwrite().save(path)
 
 
+def complete(columns: Sequence[str]) -> Column:
+    """Whether no column is null or NaN."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return out
+
+
 def importance_table(spark: SparkSession, features: Sequence[str], model) -> DataFrame:
     """Importances of a tree model, or absolute coefficients of a linear one."""
     values = model.featureImportances if hasattr(model, "featureImportances") else model.coefficients
@@ -99,7 +112,8 @@ def search(
         try:
             fitted = build(**params).fit(train)
             score = fitted.predict(validation).agg(metric(F.col(y), F.col("prediction")).alias("s")).first()["s"]
-            status = "ok"
+            missing = score is None or math.isnan(score)
+            score, status = (worst, "no score") if missing else (score, "ok")
         except Exception as e:
             score, status = worst, f"failed: {type(e).__name__}"
         rows.append((i, {k: str(v) for k, v in params.items()}, score, status))

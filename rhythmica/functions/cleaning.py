@@ -116,7 +116,7 @@ def first_present(entries: Column | str, *keys: str, default=None) -> Column:
 def params_with_prefix(params: Column | str, prefix: str) -> Column:
     """Sorted (key, value) entries of a map whose keys start with the prefix, prefix removed."""
     kept = F.map_filter(_c(params), lambda k, v: k.startswith(prefix))
-    bare = F.transform_keys(kept, lambda k, v: F.substring(k, len(prefix) + 1, 10_000))
+    bare = F.transform_keys(kept, lambda k, v: F.substr(k, F.lit(len(prefix) + 1)))
     return F.array_sort(F.map_entries(bare))
 
 
@@ -131,8 +131,8 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     return df.na.drop(subset=list(subset) if subset else None)
 
 
-def flatten(df: DataFrame, sep: str = ".", max_chars: int = 500) -> DataFrame:
-    """Nested structs become columns ``a.b``; string values are cut to ``max_chars``."""
+def flatten(df: DataFrame, sep: str = ".", max_chars: int | None = None) -> DataFrame:
+    """Nested structs become columns ``a.b``; strings stay whole unless ``max_chars`` is given."""
 
     def walk(fields: list[T.StructField], path: tuple[str, ...]) -> list[Column]:
         out = []
@@ -142,7 +142,7 @@ def flatten(df: DataFrame, sep: str = ".", max_chars: int = 500) -> DataFrame:
                 out += walk(f.dataType.fields, here)
                 continue
             c = F.col(".".join(f"`{p}`" for p in here))
-            if isinstance(f.dataType, T.StringType):
+            if max_chars is not None and isinstance(f.dataType, T.StringType):
                 c = F.substring(c, 1, max_chars)
             out.append(c.alias(sep.join(here)))
         return out

@@ -32,16 +32,16 @@ class Rule:
 
     def broken(self) -> Column:
         c = F.col(self.column)
-        if self.kind == "not_null":
-            return c.isNull()
+        number = c.try_cast("double")
+        if self.kind == "not_null":  # NaN is missing too
+            return c.isNull() | F.coalesce(F.isnan(number) & ~c.cast("string").rlike("(?i)[a-z]{4}"), F.lit(False))
         if self.kind == "between":
-            bad = F.lit(False)
-            number = c.try_cast("double")
+            bad = number.isNull() | F.isnan(number)  # a value that is no number is out of range
             if self.low is not None:
                 bad = bad | ((number <= self.low) if self.low_open else (number < self.low))
             if self.high is not None:
                 bad = bad | (number > self.high)
-            return F.coalesce(bad, F.lit(False))
+            return c.isNotNull() & F.coalesce(bad, F.lit(True))
         if self.kind == "in_set":
             return F.coalesce(~c.isin(list(self.values)), F.lit(False))
         if self.kind == "type":
@@ -81,6 +81,7 @@ SALES_RULES: tuple[Rule, ...] = (
     between("Temperature", -50, 150),
     between("Fuel_Price", 0, 10, low_open=True),
     in_set("Holiday_Flag", (0, 1)),
+    of_type("Date", "timestamp"),
 )
 FEATURE_COLUMNS = ("Store", "Weekly_Sales", "Weekly_Sales_lag_1", "Weekly_Sales_lag_7", "year", "month", "dayofweek")
 FEATURE_RULES: tuple[Rule, ...] = (

@@ -63,8 +63,9 @@ def test_cleaning(spark):
 def test_fill_flatten_filter(spark):
     df = spark.createDataFrame([(1, None, None, ("x" * 600, (5,)))], "id int, a double, s string, n struct<t:string,u:struct<k:int>>")
     assert cleaning.fill_constant(df.select("id", "a", "s")).first() == (1, 0.0, None)
-    flat = cleaning.flatten(df.select("id", "n"))
+    flat = cleaning.flatten(df.select("id", "n"), max_chars=500)
     assert flat.columns == ["id", "n.t", "n.u.k"] and len(flat.first()["n.t"]) == 500
+    assert len(cleaning.flatten(df.select("id", "n")).first()["n.t"]) == 600
     assert cleaning.filter_values(df, id=[1, 2]).count() == 1 and cleaning.filter_values(df, id=3).count() == 0
 
 
