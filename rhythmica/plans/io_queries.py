@@ -131,7 +131,7 @@ def _(spark, sf):
 def _(spark, sf):
     base = shared_dir(spark, "score")
     rules = [*validate.not_null("o_orderkey"), validate.between("o_totalprice", 0, 400000), validate.in_set("o_orderstatus", ("F", "O"))]
-    stream = jobs.file_stream(spark, sf, load(spark, sf, "orders"), "orders.parquet")
+    stream = jobs.file_stream(spark, f"{sf}/orders.parquet", load(spark, sf, "orders"))
     jobs.run_to_end(
         jobs.validate_and_score(
             stream, rules, lambda df: df.withColumn("prediction", F.col("o_totalprice") * 1.1), f"{base}/good", f"{base}/bad", f"{base}/checkpoint"
@@ -153,7 +153,7 @@ def _(spark, sf):
 def _(spark, sf):
     base = shared_dir(spark, "accuracy")
     like = load(spark, sf, "events")
-    stream = jobs.file_stream(spark, sf, like, "events.parquet").withColumn("p", F.lit(10.0))
+    stream = jobs.file_stream(spark, f"{sf}/events.parquet", like).withColumn("p", F.lit(10.0))
     windows = jobs.accuracy_windows(stream, "ts", "value", "p", ["event_type"], "1 day", late="1 hour", alert_over=200.0)
     jobs.run_to_end(jobs.append_to(windows, f"{base}/out", f"{base}/checkpoint"))
     out = spark.read.schema(windows.schema).parquet(f"{base}/out")
@@ -169,7 +169,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     base = shared_dir(spark, "sliding")
-    stream = jobs.file_stream(spark, sf, load(spark, sf, "events"), "events.parquet").withColumn("p", F.lit(10.0))
+    stream = jobs.file_stream(spark, f"{sf}/events.parquet", load(spark, sf, "events")).withColumn("p", F.lit(10.0))
     windows = jobs.accuracy_windows(stream, "ts", "value", "p", [], "1 day", "12 hours", late="1 hour")
     jobs.run_to_end(jobs.append_to(windows, f"{base}/out", f"{base}/checkpoint"))
     out = spark.read.schema(windows.schema).parquet(f"{base}/out")

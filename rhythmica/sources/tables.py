@@ -58,3 +58,9 @@ def write_predictions(df: DataFrame, path: str, y: str = "y_true", p: str = "y_p
     kept = [c for c in df.columns if c not in (y, p)]
     rows = df.select(*kept, F.col(y).alias("y_true"), F.col(p).alias("y_pred"), (F.col(y) - F.col(p)).alias("residual"))
     write_parquet(rows, path, by)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path in any store that Spark reads is a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()

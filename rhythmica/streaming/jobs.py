@@ -16,15 +16,22 @@ from rhythmica.functions import metrics as M
 from rhythmica.operators.features import history_columns
 from rhythmica.operators.layout import with_windows
 from rhythmica.operators.validate import Rule, failing_rows, passing
-from rhythmica.sources.tables import path_exists
+from rhythmica.sources.tables import is_folder, path_exists
 
 
-def file_stream(spark: SparkSession, folder: str, like: DataFrame, pattern: str, max_files: int | None = None) -> DataFrame:
-    """A stream over the Parquet files of a folder, with the schema of a batch table."""
-    reader = spark.readStream.schema(like.schema).option("pathGlobFilter", pattern)
+def file_stream(spark: SparkSession, path: str, like: DataFrame, pattern: str | None = None, max_files: int | None = None) -> DataFrame:
+    """A stream over the Parquet files of a folder, with the schema of a batch table.
+
+    A table may also be one file: it is read from its folder by its name, since file streams start at folders.
+    """
+    if pattern is None and not is_folder(spark, path):
+        path, pattern = path.rsplit("/", 1)
+    reader = spark.readStream.schema(like.schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def run_to_end(query: StreamingQuery) -> None:
