@@ -32,9 +32,9 @@ class Rule:
 
     def broken(self) -> Column:
         c = F.col(self.column)
-        number = c.try_cast("double")
+        number = c.cast("string").try_cast("double")
         if self.kind == "not_null":  # NaN is missing too
-            return c.isNull() | F.coalesce(F.isnan(number) & ~c.cast("string").rlike("(?i)[a-z]{4}"), F.lit(False))
+            return c.isNull() | F.coalesce(c.cast("string") == "NaN", F.lit(False))
         if self.kind == "between":
             bad = number.isNull() | F.isnan(number)  # a value that is no number is out of range
             if self.low is not None:
