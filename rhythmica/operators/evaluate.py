@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rhythmica.functions import metrics as M
 from rhythmica.operators.features import lagged_sum, nth_difference
+from rhythmica.operators.joins import join_same
 from rhythmica.operators.layout import Layout, with_windows
 
 
@@ -119,4 +120,4 @@ def mase(
             F.try_divide("_mae", "_naive").alias("mase")
         )
     scale = moved.groupBy(*series).agg(naive)
-    return test.groupBy(*series).agg(error).join(scale, list(series)).select(*series, F.try_divide("_mae", "_naive").alias("mase"))
+    return join_same(test.groupBy(*series).agg(error), scale, series).select(*series, F.try_divide("_mae", "_naive").alias("mase"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,16 @@ def join_per_group(df: DataFrame, table: DataFrame, keys: Sequence[str], how: st
     size = max(size, math.ceil((found["rows"] or 0) / MAX_BLOCKS))
     large = [tuple(r[k] for k in keys) for r in found["long"] if r["_n"] > size]
     if not large:
-        return df.join(table, keys, how)
+        return join_same(df, table, keys, how)
     named = F.broadcast(df.sparkSession.createDataFrame(large, T.StructType([df.schema[k] for k in keys])))
-    few = F.broadcast(table.join(named, keys, "left_semi"))
-    in_place = df.join(named, keys, "left_semi").join(few, keys, how)
-    return in_place.unionByName(df.join(named, keys, "left_anti").join(table, keys, how))
+    few = F.broadcast(join_same(table, named, keys, "left_semi"))
+    in_place = join_same(join_same(df, named, keys, "left_semi"), few, keys, how)
+    return in_place.unionByName(join_same(join_same(df, named, keys, "left_anti"), table, keys, how))
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same name in which nulls are equal; the key columns are the left ones."""
+    names = {k: f"_same_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[n]) for k, n in names.items()])
+    return left.join(right, on, how).drop(*names.values())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rhythmica.operators.joins import join_same
 from rhythmica.operators.quantiles import column_quantiles, exact_quantiles
 
 
@@ -31,7 +32,7 @@ def series_summary(df: DataFrame, by: Sequence[str], y: str) -> DataFrame:
     """Mean, median, sample deviation and maximum per group; highest mean first."""
     moments = df.groupBy(*by).agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.max(y).alias("max"))
     medians = exact_quantiles(df, by, y, [0.5], ["median"])
-    return moments.join(medians, list(by), "left").orderBy(F.col("mean").desc(), *by)
+    return join_same(moments, medians, by, "left").orderBy(F.col("mean").desc(), *by)
 
 
 def grouped_mean(df: DataFrame, by: Sequence[str], y: str, name: str = "mean") -> DataFrame:

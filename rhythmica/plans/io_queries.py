@@ -190,7 +190,7 @@ def _(spark, sf):
     for k, start in enumerate(edges):
         part = ev.filter(F.col("ts") >= literal(start, ev.schema["ts"].dataType))
         part = part.filter(F.col("ts") < literal(edges[k + 1], ev.schema["ts"].dataType)) if k < 3 else part
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = jobs.file_stream(spark, f"{base}/in", ev, "*.parquet", max_files=1)
-    jobs.run_to_end(jobs.online_lags(stream, ["user_id"], ["ts", "event_id"], "value", [1, 3], f"{base}/out", f"{base}/state", f"{base}/checkpoint"))
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = jobs.file_stream(spark, f"{base}/in", ev, "*.parquet")
+        jobs.run_to_end(jobs.online_lags(stream, ["user_id"], ["ts", "event_id"], "value", [1, 3], f"{base}/out", f"{base}/state", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/out").select("event_id", "value_lag_1", "value_lag_3")

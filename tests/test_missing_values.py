@@ -1,7 +1,9 @@
 """Nulls, NaN and ill-typed text in checks, rankings, summaries, searches and predictions."""
 
-from rhythmica.forecast import trees
-from rhythmica.operators import leaderboard, validate
+from pyspark.sql import functions as F
+
+from rhythmica.forecast import intervals, trees
+from rhythmica.operators import joins, leaderboard, profile, validate
 
 
 
@@ -50,3 +52,19 @@ def test_search_survives_a_missing_score(spark):
     nothing = spark.createDataFrame([(None, 1.0)], "a double, y double")
     found = trees.search(lambda depth: trees.random_forest(["a"], "y", trees=1, depth=depth), [{"depth": 1}], train, nothing, "y")
     assert found.first()["status"] == "no score"
+
+
+def test_null_group_keys_are_a_group(spark):
+    rows = [("a", 1.0, 2.0), ("a", 3.0, 4.0), (None, 5.0, 6.0), (None, 7.0, 9.0)]
+    df = spark.createDataFrame(rows, "k string, y double, p double")
+    summary = {r["k"]: (r["mean"], r["median"]) for r in profile.series_summary(df, ["k"], "y").collect()}
+    assert summary == {"a": (2.0, 2.0), None: (6.0, 6.0)}
+    assert intervals.spread_interval(df, "p", ["k"]).where("lower IS NOT NULL").count() == 4
+    for per_block in ("1", "2000000"):  # the null group as a long and as a short one
+        spark.conf.set("spark.rhythmica.rowsPerBlock", per_block)
+        try:
+            per_key = df.groupBy("k").agg(F.max("y").alias("top"))
+            got = joins.join_per_group(df, per_key, ["k"]).select("k", "y", "top").collect()
+        finally:
+            spark.conf.unset("spark.rhythmica.rowsPerBlock")
+        assert sorted((r["y"], r["top"]) for r in got) == [(1.0, 3.0), (3.0, 3.0), (5.0, 7.0), (7.0, 7.0)]
