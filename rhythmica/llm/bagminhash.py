@@ -291,11 +291,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         blocks = F.explode(F.when(F.col("rep") == F.col("place"), every).otherwise(own)).alias("block")
         found = compare(rows.select("place", blocks, F.lit(0).alias("role"), "rep", F.col("rep").alias("class"), "text"))
         links = found if links is None else links.unionByName(found)
-        classes = settled(components(links), "classes")
         large = texts.where("blocks > 1").select("rep", "place", "blocks", "text")
         if large.isEmpty():
             break
-    else:  # what is not in its neighbourhood's largest class meets all blocks
+    classes = settled(components(links), "classes")
+    if not large.isEmpty():  # what is not in its neighbourhood's largest class meets all blocks
         large = settled(large.join(classes, large["rep"] == classes["node"], "left").select(*large.columns, F.coalesce("component", "rep").alias("class")), "large")
         counts = large.groupBy("place", "class").agg(F.count(F.lit(1)).alias("n"))
         most = counts.groupBy("place").agg(F.max(F.struct("n", "class"))["class"].alias("main"))
@@ -303,8 +303,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         own = F.pmod(F.xxhash64("rep", F.lit(0)), F.col("blocks")).cast("int").alias("block")
         residents = large.select("place", own, F.lit(0).alias("role"), "rep", "class", "text")
         guests = large.where("class <> main").select("place", F.explode(every).alias("block"), F.lit(1).alias("role"), "rep", "class", "text")
-        links = links.unionByName(compare(residents.unionByName(guests)))
-        classes = settled(components(links), "classes")
+        more = compare(residents.unionByName(guests))
+        stars = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        classes = settled(components(stars.unionByName(more)), "classes")
 
     final = firsts.join(classes, firsts["rep"] == classes["node"], "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = join_one(signed.select("doc_id", F.when(known, F.col("digest")).alias("digest")), final, "digest", F.xxhash64("doc_id"), "left")

@@ -84,14 +84,15 @@ def hot_keys(many: DataFrame, key: str, least: int = HOT_ROWS) -> DataFrame:
     return counts.orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(F.col(key).alias("_hot"))
 
 
-def join_one(many: DataFrame, one: DataFrame, key: str, spread: Column, how: str = "inner", least: int = HOT_ROWS) -> DataFrame:
+def join_one(many: DataFrame, one: DataFrame, key: str, spread: Column, how: str = "inner", least: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Join each row of ``many`` with the one row of ``one`` that has its key, also where a key holds much of ``many``.
 
     The rows of hot keys are dealt over SALTS by ``spread`` (a column that differs among them), and the
     row they meet is repeated as often. The list of hot keys is broadcast: HOT_KEYS rows at most.
-    ``many`` is read twice, so give a stored table. ``how``: inner or left.
+    ``many`` is read twice, so give a stored table, or give ``hot`` (_hot: the keys, HOT_KEYS at most) where
+    they are known. ``how``: inner or left.
     """
-    hot = F.broadcast(hot_keys(many, key, least))
+    hot = F.broadcast(hot_keys(many, key, least) if hot is None else hot)
     salted = many.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     )

@@ -293,3 +293,16 @@ def test_pipeline_stages_drop_and_keep(spark):
         docs = kept
     last = pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in last.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_stars_of_edges():
+    rng = np.random.default_rng(5)
+    for nodes, edges in ((50, 20), (200, 180), (400, 390)):
+        u, v = rng.integers(0, nodes, edges), rng.integers(0, nodes, edges)
+        least = {i: i for i in range(nodes)}
+        for _ in range(edges):
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                least[a] = least[b] = min(least[a], least[b])
+        got = dict(zip(*(x.tolist() for x in components.stars(u, v)), strict=True))
+        assert got == {a: b for a, b in least.items() if a != b}
+    assert [len(x) for x in components.stars(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
