@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,12 +65,17 @@ def listing_key(spark: SparkSession, folder: str, extension: str = ".parquet") -
 
 
 def cached_features(
-    source: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str, name: str, force: bool = False, key: str | None = None
+    source: DataFrame, build: Callable[[DataFrame], DataFrame], folder: str, name: str, force: bool = False, key: str | None = None,
+    params: Mapping | None = None,
 ) -> DataFrame:
-    """Stored features while the source is unchanged, rebuilt otherwise. ``key`` defaults to the
-    content fingerprint of the source."""
+    """Stored features while the source, its schema and ``params`` are unchanged, rebuilt otherwise.
+
+    ``key`` defaults to the content fingerprint of the source; ``params`` are what the features depend on
+    besides the source, such as lags and windows.
+    """
     spark = source.sparkSession
-    path = f"{folder.rstrip('/')}/{name}_{key or fingerprint_key(source)}.parquet"
+    made = hashlib.sha256(json.dumps([source.schema.jsonValue(), dict(params or {})], sort_keys=True, default=str).encode()).hexdigest()[:32]
+    path = f"{folder.rstrip('/')}/{name}_{key or fingerprint_key(source)}_{made}.parquet"
     # a folder without _SUCCESS is a write that was cut short
     if force or not path_exists(spark, f"{path}/_SUCCESS"):
         build(source).write.mode("overwrite").parquet(path)

@@ -135,3 +135,15 @@ def test_predictions_sink(spark, tmp_path):
     tables.write_predictions(df, str(tmp_path / "pred"))
     row = spark.read.parquet(str(tmp_path / "pred")).first()
     assert row["residual"] == 2.0 and row["split"] == "test" and row["model"] == "m"
+
+
+def test_cache_rebuilds_for_other_parameters_and_schemas(spark, tmp_path):
+    df, calls = spark.range(5).selectExpr("id", "id * 2 AS x"), []
+
+    def build(d):
+        calls.append(1)
+        return d
+
+    for source, lags in ((df, [1]), (df, [1]), (df, [1, 2]), (df.withColumnRenamed("x", "y"), [1])):
+        files.cached_features(source, build, str(tmp_path), "t", params={"lags": lags})
+    assert len(calls) == 3
