@@ -11,8 +11,11 @@ in double precision. A link that two shards share is counted in the first of the
 Equal vectors of a label are collapsed first, so a group of copies of any size is one node; of a shard's
 links only their counts and a spanning forest leave the task. A sample of queries is compared with all
 vectors (the audit); below MEASURED recall all is repeated with twice the overlap and beam, up to ATTEMPTS times.
+Where comparing all vectors of each label costs less than that, or ATTEMPTS were not enough, all are compared
+(a ball of unequal vectors larger than its shards has links between any two of them), so the result is exact.
 
-Bounds: centroids are at most about 2 * CENTROIDS in all (shards grow beyond that) and travel with the job.
+Bounds: centroids are at most about 2 * CENTROIDS in all (shards grow beyond that) and travel with the job;
+so do the vectors that a pass over all compares, about QUERIES. Comparing all takes one pass per QUERIES vectors.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and rows without a
 label, have no links and are their own component; so do vectors of a length other than their label's most
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rhythmica.llm.common import join_one, splitmix
-from rhythmica.llm.components import components
+from rhythmica.llm.components import components, stars
 from rhythmica.session import settled
 
 LIMIT = 0.93
@@ -39,6 +42,10 @@ DEGREE, BEAM, ALPHA = 24, 32, 1.2
 SLACK = 0.06
 BATCH = 256
 AUDIT, MEASURED, ATTEMPTS = 256, 0.95, 4
+#: Vectors that one pass compares with all, and entries of a matrix of similarities.
+QUERIES, ENTRIES = 4096, 4_000_000
+#: A vector in a shard's graph costs as much as so many plain comparisons or more (estimated).
+COMPARISONS = 100_000
 
 
 class Graph:
@@ -158,7 +165,8 @@ class Graph:
 
 
 def _vectors(column) -> np.ndarray:
-    flat = np.asarray(column.combine_chunks().flatten())
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = np.asarray(column.flatten())
     return flat.reshape(len(column), -1)
 
 
@@ -267,6 +275,77 @@ def _searched(limit: float, beam: int):
     return run
 
 
+def _forest(mask: np.ndarray, rows: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the pairs of ``mask`` (rows by queries) connect: from each node to its smallest."""
+    ids = np.unique(np.concatenate([rows, queries]))
+    row, col, top = np.searchsorted(ids, rows), np.searchsorted(ids, queries), np.arange(len(ids))
+    while True:
+        rest = mask & (top[row][:, None] != top[col][None, :])
+        r, c = np.flatnonzero(rest.any(axis=1)), np.flatnonzero(rest.any(axis=0))
+        if not len(r):
+            below = top != np.arange(len(ids))
+            return ids[below], ids[top[below]]
+        below = np.flatnonzero(top != np.arange(len(ids)))
+        a = np.concatenate([below, row[r], row[rest[:, c].argmax(axis=0)]])
+        b = np.concatenate([top[below], col[rest[r].argmax(axis=1)], col[c]])
+        node, least = stars(a, b)
+        top[node] = least
+
+
+def _compared(queries: list, limit: float, forest: bool):
+    """Per query: how many vectors of its label it is linked to in this task; with ``forest`` also a spanning forest of the links."""
+    by_label: dict[str, list] = {}
+    for r in queries:
+        by_label.setdefault(r.label, []).append(r)
+    asked = {label: (np.array([r.node for r in rows], np.int64), _unit(np.array([r.v for r in rows]))) for label, rows in by_label.items()}
+
+    def run(batches):
+        counts = {label: np.zeros(len(ids), np.int64) for label, (ids, _) in asked.items()}
+        u = v = np.zeros(0, np.int64)
+        for batch in batches:
+            labels = np.array(batch.column("label").to_pylist(), object)
+            for label in set(labels) & asked.keys():
+                ids, q = asked[label]
+                every, step = np.flatnonzero(labels == label), max(1, ENTRIES // len(ids))
+                for start in range(0, len(every), step):
+                    rows = every[start : start + step]
+                    part = batch.take(pa.array(rows))
+                    own, n, x = np.asarray(part.column("node")), np.asarray(part.column("n")), _unit(_vectors(part.column("v")))
+                    near = x.astype(np.float32) @ q.T.astype(np.float32)
+                    mask = near >= limit + 1e-4
+                    r, c = np.nonzero(np.abs(near - limit) < 1e-4)  # too close for single precision
+                    for k in range(0, len(r), 100_000):
+                        a, b = r[k : k + 100_000], c[k : k + 100_000]
+                        mask[a, b] = np.einsum("rd,rd->r", x[a], q[b]) >= limit
+                    mask &= own[:, None] != ids[None, :]
+                    for c in range(0, len(ids), 512):
+                        counts[label][c : c + 512] += n @ mask[:, c : c + 512]
+                    if forest and mask.any():
+                        some, asks = mask.any(axis=1), mask.any(axis=0)
+                        a, b = _forest(mask[some][:, asks], own[some], ids[asks])
+                        u, v = np.concatenate([u, a]), np.concatenate([v, b])
+                        if len(u) > ENTRIES:
+                            u, v = stars(u, v)
+        ids = np.concatenate([asked[label][0] for label in asked])
+        u, v = stars(u, v)
+        parts = (np.concatenate([ids, u]), np.concatenate([*(counts[label] for label in asked), np.zeros(len(u), np.int64)]), np.concatenate([ids, v]))
+        for start in range(0, len(parts[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[start : start + 100_000]) for x in parts], ["node", "links", "joined"])
+
+    return run
+
+
+def compared(nodes: DataFrame, limit: float, blocks: int, wanted: range, forest: bool = True) -> DataFrame:
+    """The nodes of the ``wanted`` of ``blocks`` blocks against all of their label: node, links, joined, as of ``_searched``."""
+    out = None
+    for block in wanted:
+        queries = nodes.where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block).select("label", "v", "node").collect()
+        if queries:
+            now = settled(nodes.select("label", "v", "node", "n").mapInArrow(_compared(queries, limit, forest), "node bigint, links bigint, joined bigint"), "compared")
+            out = now if out is None else out.union(now)
+    return nodes.sparkSession.createDataFrame([], "node bigint, links bigint, joined bigint") if out is None else out
+
+
 def audit(nodes: DataFrame, links: DataFrame, limit: float) -> float:
     """Recall of ``links`` (node, links) for a sample of AUDIT nodes compared with all."""
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()
@@ -299,8 +378,9 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
     widths = rows.groupBy("label", F.size("v").alias("w")).count().groupBy("label").agg(F.max_by("w", F.struct("count", "w")).alias("w"))
     groups = rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n"))
     nodes = settled(groups.join(widths, "label").where(F.size("v") == F.col("w")).select("label", "v", "node", "n"), "nodes")
+    sizes = nodes.groupBy("label").count().agg(F.sum("count").alias("n"), F.sum(F.col("count").cast("double") ** 2).alias("pairs")).first()
     overlap, beam = OVERLAP, BEAM
-    for _ in range(ATTEMPTS):
+    for attempt in range(ATTEMPTS):
         dealt = settled(in_shards(nodes, SHARD, overlap).withColumn("shard", F.explode("shards")), "shards")
         lists = dealt.groupBy("label", "shard").applyInArrow(_built, "node bigint, near array<bigint>")
         united = settled(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "lists")
@@ -311,6 +391,11 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
         if recall >= MEASURED:
             break
         overlap, beam = 2 * overlap, 2 * beam
+        if attempt + 1 == ATTEMPTS or sizes.pairs <= COMPARISONS * overlap * sizes.n:
+            blocks = -(-sizes.n // QUERIES)
+            found, recall = compared(nodes, limit, blocks, range(blocks)), 1.0
+            links = found.groupBy("node").agg(F.sum("links").alias("links"))
+            break
     classes = components(found.where("node <> joined"), "node", "joined")
     of_node = nodes.select("label", "v", "node", "n").join(links, "node").join(classes, "node", "left")
     of_node = of_node.select("label", "v", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))

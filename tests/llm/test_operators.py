@@ -265,6 +265,28 @@ def test_flat_graph_finds_links(spark, monkeypatch):
     assert flatgraph.near_vectors(table.limit(0)).count() == 0
 
 
+def brute_force(x, limit=flatgraph.LIMIT):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= limit
+    np.fill_diagonal(near, False)
+    return near.sum(1)
+
+
+@pytest.mark.parametrize("attempts, comparisons", [(4, 100_000), (1, 0)])
+def test_flat_graph_finds_all_links_of_a_ball_over_many_shards(spark, monkeypatch, attempts, comparisons):
+    monkeypatch.setattr(flatgraph, "SHARD", 12)
+    monkeypatch.setattr(flatgraph, "ATTEMPTS", attempts)
+    monkeypatch.setattr(flatgraph, "COMPARISONS", comparisons, raising=False)
+    monkeypatch.setattr(flatgraph, "QUERIES", 100, raising=False)
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(size=(1, 16)) + 0.15 * rng.normal(size=(300, 16)), rng.normal(size=(60, 16))])
+    want = brute_force(x)
+    assert want[:300].mean() > 200
+    got = {r.vec_id: r for r in flatgraph.near_vectors(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert [got[i].n_links for i in range(len(x))] == want.tolist()
+    assert len({got[i].component_id for i in np.flatnonzero(want[:300])}) == 1
+
+
 def test_top_k_equals_brute_force(spark):
     rows, table = vectors(spark)
     ints = {i: [math.floor(256 * c) for c in v] for i, v, _ in rows} | {903: [256] * 16, 901: [0] * 16}
