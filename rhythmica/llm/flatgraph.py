@@ -9,8 +9,9 @@ medoid, and from everything near the limit on, along the lists in both direction
 in double precision. A link that two shards share is counted in the first of them.
 
 Equal vectors of a label are collapsed first, so a group of copies of any size is one node; of a shard's
-links only their counts and a spanning forest leave the task. A sample of queries is compared with all
-vectors (the audit); below MEASURED recall all is repeated with twice the overlap and beam, up to ATTEMPTS times.
+links only their counts and a spanning forest leave the task. A sample that holds AUDIT vectors with a true link,
+or else every vector, is compared with all (the audit); below MEASURED recall, over links or as the mean over those
+vectors, all is repeated with twice the overlap and beam, up to ATTEMPTS times.
 Where comparing all vectors of each label costs less than that, or ATTEMPTS were not enough, all are compared
 (a ball of unequal vectors larger than its shards has links between any two of them), so the result is exact.
 
@@ -19,8 +20,8 @@ so do the vectors that a pass over all compares, about QUERIES. Comparing all ta
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and rows without a
 label, have no links and are their own component; so do vectors of a length other than their label's most
-frequent; equal rows are copies of each other; a null id has no component; an empty table gives an empty
-table; further columns are ignored.
+frequent; equal rows are copies of each other; a null id has no component; the audited recall is null where
+no two unequal vectors are linked; an empty table gives an empty table; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -346,30 +347,22 @@ def compared(nodes: DataFrame, limit: float, blocks: int, wanted: range, forest:
     return nodes.sparkSession.createDataFrame([], "node bigint, links bigint, joined bigint") if out is None else out
 
 
-def audit(nodes: DataFrame, links: DataFrame, limit: float) -> float:
-    """Recall of ``links`` (node, links) for a sample of AUDIT nodes compared with all."""
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()
-    if not sample:
-        return 1.0
-    by_label: dict[str, list] = {}
-    for r in sample:
-        by_label.setdefault(r.label, []).append(r)
-
-    def run(batches):
-        for batch in batches:
-            labels, out = np.array(batch.column("label").to_pylist(), object), []
-            for label in set(labels) & by_label.keys():
-                rows = np.flatnonzero(labels == label)
-                x = _unit(np.array(batch.column("v").take(pa.array(rows)).to_pylist()))
-                own, n = np.asarray(batch.column("node"))[rows], np.asarray(batch.column("n"))[rows]
-                for r in by_label[label]:
-                    near = (x @ _unit(np.array([r.v]))[0] >= limit) & (own != r.node)
-                    out.append((r.node, int(n[near].sum())))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["node", "true"])
+def audit(nodes: DataFrame, links: DataFrame, limit: float, total: int) -> float | None:
+    """Recall of ``links`` (node, links): over all true links of a sample, or as the mean of its linked nodes if that is less.
 
-    true = nodes.mapInArrow(run, "node bigint, true bigint").groupBy("node").agg(F.sum("true").alias("true"))
-    total = true.join(links, "node", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("links", F.lit(0)))).alias("f")).first()
-    return total.f / total.t if total.t else 1.0
+    The sample is a hundredth of the nodes or a block of QUERIES, and doubles until AUDIT of its nodes have a
+    true link or all nodes are in it. None: no two vectors are linked.
+    """
+    blocks = -(-total // QUERIES)
+    start, size, sums = 0, -(-blocks // 100), np.zeros(4)
+    while start < blocks and sums[0] < AUDIT:
+        wanted = range(start, min(blocks, start + size))
+        true = compared(nodes, limit, blocks, wanted, forest=False).groupBy("node").agg(F.sum("links").alias("true")).where(F.col("true") > 0)
+        hit = F.least("true", F.coalesce("links", F.lit(0)))
+        found = true.join(links, "node", "left").agg(F.count(F.lit(1)), F.sum(hit / F.col("true")), F.sum("true"), F.sum(hit)).first()
+        sums += [x or 0 for x in found]
+        start, size = wanted.stop, wanted.stop
+    return min(sums[1] / sums[0], sums[3] / sums[2]) if sums[0] else None
 
 
 def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -387,8 +380,8 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
         ready = dealt.join(united, "node")
         found = settled(ready.groupBy("label", "shard").applyInArrow(_searched(limit, beam), "node bigint, links bigint, joined bigint"), "found")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
-        recall = audit(nodes, links, limit)
-        if recall >= MEASURED:
+        recall = audit(nodes, links, limit, sizes.n or 0)
+        if recall is None or recall >= MEASURED:
             break
         overlap, beam = 2 * overlap, 2 * beam
         if attempt + 1 == ATTEMPTS or sizes.pairs <= COMPARISONS * overlap * sizes.n:
@@ -406,4 +399,4 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
     met = met.select("vec_id", "n_links", "component_id").distinct()
     every = table.select(F.col(id_col).cast("bigint").alias("vec_id")).join(met, "vec_id", "left")
     out = every.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).withColumn("audited_recall", F.lit(float(recall)))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).withColumn("audited_recall", F.lit(recall).cast("double"))

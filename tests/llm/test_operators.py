@@ -287,6 +287,21 @@ def test_flat_graph_finds_all_links_of_a_ball_over_many_shards(spark, monkeypatc
     assert len({got[i].component_id for i in np.flatnonzero(want[:300])}) == 1
 
 
+def test_audit_counts_queries_with_links(spark, monkeypatch):
+    monkeypatch.setattr(flatgraph, "QUERIES", 300, raising=False)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(2000, 32))
+    x = np.vstack([base, base[:6] + 0.01 * rng.normal(size=(6, 32))])  # six pairs in 2,006 nodes
+    y = np.vstack([x, base[100] + 0.01 * rng.normal(size=(50, 32))])  # and a ball of 51, all of it found
+    schema = "label string, v array<double>, node bigint, n bigint"
+    for vectors, found, want in ((x, [], 0.0), (x, [0, 2000, 1, 2001, 2, 2002], 0.5), (base, [], None), (y, [100, *range(2006, 2056)], 51 / 63)):
+        nodes = spark.createDataFrame([("a", v.tolist(), i, 1) for i, v in enumerate(vectors)], schema)
+        true = brute_force(vectors)
+        links = spark.createDataFrame([(i, int(true[i]) if i in found else 0) for i in range(len(vectors))], "node bigint, links bigint")
+        got = flatgraph.audit(nodes, links, flatgraph.LIMIT, len(vectors))
+        assert got == (want if want is None else pytest.approx(want))
+
+
 def test_top_k_equals_brute_force(spark):
     rows, table = vectors(spark)
     ints = {i: [math.floor(256 * c) for c in v] for i, v, _ in rows} | {903: [256] * 16, 901: [0] * 16}
