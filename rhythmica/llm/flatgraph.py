@@ -1,7 +1,7 @@
 """Near-duplicate vectors through a robust-pruned flat graph on overlapping cluster shards.
 
 Vectors of one label are dealt into shards around centroids (k-means on a sample of about SAMPLE vectors
-per shard); each goes to its OVERLAP nearest ones. Each shard builds a graph: vectors are inserted in
+per shard, assigned and summed in tasks that hold slices of it); each goes to its OVERLAP nearest ones. Each shard builds a graph: vectors are inserted in
 batches that double, a batch searches the graph so far from the medoid, and its candidates are pruned
 robustly (a candidate closer by ALPHA to a chosen neighbour is dropped). The lists of a vector from all its
 shards are united. Every vector is then searched for in its shards, on the united lists: greedily from the
@@ -38,6 +38,8 @@ from rhythmica.session import settled
 LIMIT = 0.93
 SHARD, OVERLAP, SAMPLE = 400, 2, 64
 CENTROIDS = 65_536
+#: First centroids are drawn from so many vectors per shard; steps of k-means.
+SEEDS, STEPS = 4, 6
 DEGREE, BEAM, ALPHA = 24, 32, 1.2
 #: Neighbours this far below the limit are still expanded.
 SLACK = 0.06
@@ -177,16 +179,62 @@ def sound_vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str
     return rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL").where(sound)
 
 
-def _centroids(table: pa.Table) -> pa.Table:
-    """k-means of one label's sample; the number of shards stands in every row."""
-    x, k = _unit(_vectors(table["v"])), min(int(table["k"][0].as_py()), len(table))
-    order = np.argsort(splitmix(np.asarray(table["node"]).astype(np.uint64)), kind="stable")
-    centre = x[order[:k]]
-    for _ in range(6):
-        near = (x @ centre.T).argmax(axis=1)
-        for j in np.unique(near):
-            centre[j] = _unit(x[near == j].sum(axis=0)[None])[0]
-    return pa.table({"label": pa.array([table["label"][0].as_py()] * k), "shard": pa.array(np.arange(k), pa.int64()), "c": pa.array(centre.tolist(), pa.list_(pa.float64()))})
+def _nearest(x: np.ndarray, centre: np.ndarray, most: int) -> np.ndarray:
+    """Per row of ``x`` its ``most`` most similar centroids, the best first, in slices of about ENTRIES similarities."""
+    out, step = [], max(1, ENTRIES // len(centre))
+    for start in range(0, len(x), step):
+        near = -(x[start : start + step] @ centre.T)
+        if most < len(centre):
+            some = np.sort(np.argpartition(near, most - 1, axis=1)[:, :most], axis=1)
+        else:
+            some = np.tile(np.arange(len(centre)), (len(near), 1))
+        out.append(np.take_along_axis(some, np.argsort(np.take_along_axis(near, some, axis=1), axis=1, kind="stable"), axis=1))
+    return np.concatenate(out) if out else np.zeros((0, min(most, len(centre))), np.int64)
+
+
+def _assigned(tables: dict[str, np.ndarray]):
+    """Per task, label and shard: the sum of the unit vectors that are nearest to it."""
+
+    def run(batches):
+        sums = {label: np.zeros_like(c) for label, c in tables.items()}
+        met = {label: np.zeros(len(c), bool) for label, c in tables.items()}
+        for batch in batches:
+            labels = np.array(batch.column("label").to_pylist(), object)
+            for label in set(labels) & tables.keys():
+                x = _unit(_vectors(batch.column("v").take(pa.array(np.flatnonzero(labels == label)))))
+                near = _nearest(x, tables[label], 1)[:, 0]
+                np.add.at(sums[label], near, x)
+                met[label][near] = True
+        for label in tables:
+            shards = np.flatnonzero(met[label])
+            for start in range(0, len(shards), 1000):
+                part = shards[start : start + 1000]
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(part)), pa.array(part, pa.int64()), pa.array(list(sums[label][part]), pa.list_(pa.float64()))], ["label", "shard", "c"])
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The tasks' sums of one label and shard as its new centroid."""
+    c = _unit(_vectors(table["c"]).sum(axis=0)[None])[0]
+    return pa.table({"label": table["label"].slice(0, 1), "shard": table["shard"].slice(0, 1), "c": pa.array([c.tolist()], pa.list_(pa.float64()))})
+
+
+def centroids(nodes: DataFrame, target: int) -> dict[str, np.ndarray]:
+    """k-means of each label that has more than ``target`` vectors; tasks hold slices of the sample, only centroids come to the driver."""
+    sizes = nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias("k")).where("k > 1")
+    part = F.pmod(F.xxhash64("node"), F.lit(target))
+    sampled = settled(nodes.where(part < SAMPLE).join(F.broadcast(sizes), "label").select("label", "v", "k", "node", part.alias("part")), "sample")  # at most total / target labels have k > 1
+    drawn: dict[str, list] = {}
+    for r in sorted(sampled.where(F.col("part") < SEEDS).collect(), key=lambda r: (r.label, r.part, r.node)):
+        if len(drawn.setdefault(r.label, [])) < r.k:
+            drawn[r.label].append(r.v)
+    tables = {label: _unit(np.array(v)) for label, v in drawn.items()}
+    for _ in range(STEPS if tables else 0):
+        sums = sampled.select("label", "v").mapInArrow(_assigned(tables), "label string, shard bigint, c array<double>")
+        for r in sums.groupBy("label", "shard").applyInArrow(_summed, "label string, shard bigint, c array<double>").collect():
+            tables[r.label][r.shard] = r.c
+    return tables
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -200,13 +248,7 @@ def in_shards(nodes: DataFrame, shard: int, overlap: int) -> DataFrame:
     """nodes (label, v, node, n) with their shards, nearest first."""
     total = nodes.count()
     target = max(shard, -(-total // CENTROIDS))
-    sizes = nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / target).cast("int").alias("k")).where("k > 1")
-    sampled = nodes.where(F.pmod(F.xxhash64("node"), F.lit(target)) < SAMPLE).join(F.broadcast(sizes), "label")  # at most total / target labels have k > 1
-    found = settled(sampled.groupBy("label").applyInArrow(_centroids, "label string, shard bigint, c array<double>"), "centroids").collect()
-    centres: dict[str, list] = {}
-    for r in sorted(found, key=lambda r: (r.label, r.shard)):
-        centres.setdefault(r.label, []).append(r.c)
-    tables = {label: np.array(c) for label, c in centres.items()}
+    tables = centroids(nodes, target)
 
     def run(batches):
         for batch in batches:
@@ -214,8 +256,7 @@ def in_shards(nodes: DataFrame, shard: int, overlap: int) -> DataFrame:
             labels = np.array(batch.column("label").to_pylist(), object)
             for label in set(labels) & tables.keys():
                 rows = np.flatnonzero(labels == label)
-                x = _unit(np.array(batch.column("v").take(pa.array(rows)).to_pylist()))
-                near = np.argsort(-(x @ tables[label].T), axis=1, kind="stable")[:, :overlap]
+                near = _nearest(_unit(_vectors(batch.column("v").take(pa.array(rows)))), tables[label], overlap)
                 for i, s in zip(rows, near.tolist(), strict=True):
                     shards[i] = s
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "v", "node", "n")), pa.array(shards, pa.list_(pa.int64()))], ["label", "v", "node", "n", "shards"])

@@ -302,6 +302,32 @@ def test_audit_counts_queries_with_links(spark, monkeypatch):
         assert got == (want if want is None else pytest.approx(want))
 
 
+def test_centroids_of_one_label_come_from_many_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(20, 16))
+    x = np.repeat(centre, 100, axis=0) + 0.05 * rng.normal(size=(2000, 16))
+    nodes = spark.createDataFrame([("a", v.tolist(), i, 1) for i, v in enumerate(x)] + [("b", [1.0] * 16, 9000, 1)], "label string, v array<double>, node bigint, n bigint").repartition(8)
+    asked = []
+    nearest = flatgraph._nearest
+    monkeypatch.setattr(flatgraph, "ENTRIES", 100)
+    small = nearest(x, centre, 3)
+    assert (small == np.argsort(-(x @ centre.T), axis=1, kind="stable")[:, :3]).all()
+    monkeypatch.setattr(flatgraph, "_assigned", lambda tables, f=flatgraph._assigned: asked.append({k: len(v) for k, v in tables.items()}) or f(tables))
+    tables = flatgraph.centroids(nodes, 50)
+    assert list(tables) == ["a"] and len(tables["a"]) == 40 and len(asked) == flatgraph.STEPS
+    assert np.allclose(np.linalg.norm(tables["a"], axis=1), 1)
+    # tasks see slices: their sums are those of the whole
+    once = {k: v.copy() for k, v in tables.items()}
+    rows = list(flatgraph._assigned(once)(iter(nodes.select("label", "v").toArrow().to_batches(max_chunksize=7))))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ once["a"].T).argmax(axis=1)
+    for batch in rows:
+        for r in batch.to_pylist():
+            assert np.allclose(r["c"], unit[near == r["shard"]].sum(axis=0))
+    dealt = flatgraph.in_shards(nodes, 50, 2).collect()
+    assert len(dealt) == 2001 and all(len(r.shards) == (2 if r.label == "a" else 1) for r in dealt)
+
+
 def test_top_k_equals_brute_force(spark):
     rows, table = vectors(spark)
     ints = {i: [math.floor(256 * c) for c in v] for i, v, _ in rows} | {903: [256] * 16, 901: [0] * 16}
