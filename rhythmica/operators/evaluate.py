@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from rhythmica.functions import metrics as M
 from rhythmica.operators.features import lagged_sum, nth_difference
@@ -49,17 +54,74 @@ def score_or_null(df: DataFrame, y: str, p: str, metrics: dict[str, M.Metric]) -
     return {n: out[n] for n in metrics}
 
 
+class Steps(NamedTuple):
+    """A user metric for groups of any size: ``partial`` turns some rows (y_true, y_pred) into a few numbers,
+    ``merge`` joins two such lists, ``finish`` gives the score."""
+
+    partial: Callable[[pd.Series, pd.Series], Sequence[float]]
+    merge: Callable[[Sequence[float], Sequence[float]], Sequence[float]]
+    finish: Callable[[Sequence[float]], float]
+
+
+# groups whose partial results a task holds before it passes them on
+HELD_GROUPS = 10_000
+
+
+def score_steps(df: DataFrame, y: str, p: str, by: Sequence[str], metrics: dict[str, Steps]) -> DataFrame:
+    """User metrics in steps: partial results per batch and task, merged per group. No task holds a group's rows."""
+    steps, keys = list(metrics.values()), df.select(*by).schema
+    kinds = to_arrow_schema(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+
+        def rows():
+            columns = [pa.array([k[i] for k in held], kinds.field(i).type) for i in range(len(by))]
+            columns += [pa.array([s[i] for s in held.values()], pa.list_(pa.float64())) for i in range(len(steps))]
+            return pa.RecordBatch.from_arrays(columns, [*by, *[f"_s{i}" for i in range(len(steps))]])
+
+        for batch in batches:
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*[c.to_pylist() for c in batch.columns[:-2]], strict=True) if by else [()] * batch.num_rows):
+                places.setdefault(key, []).append(i)
+            true, guess = (pd.Series(c.to_numpy(zero_copy_only=False), dtype="float64") for c in batch.columns[-2:])
+            for key, at in places.items():
+                a, b = true.iloc[at].reset_index(drop=True), guess.iloc[at].reset_index(drop=True)
+                now = [[float(x) for x in s.partial(a, b)] for s in steps]
+                held[key] = [s.merge(x, z) for s, x, z in zip(steps, held[key], now, strict=True)] if key in held else now
+            if len(held) > HELD_GROUPS:
+                yield rows()
+                held = {}
+        if held:
+            yield rows()
+
+    def merged(step: Steps, name: str):
+        @F.pandas_udf("double")
+        def finish(states: pd.Series) -> float:
+            return float(step.finish(reduce(step.merge, states))) if len(states) else float("nan")
+
+        return finish(F.col(name))
+
+    schema = StructType([*keys.fields, *[StructField(f"_s{i}", ArrayType(DoubleType())) for i in range(len(steps))]])
+    parts = df.select(*by, F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p")).mapInArrow(run, schema)
+    return parts.groupBy(*by).agg(*[merged(s, f"_s{i}").alias(n) for i, (n, s) in enumerate(metrics.items())])
+
+
 def score_python(
-    df: DataFrame, y: str, p: str, by: Sequence[str], metrics: dict[str, Callable[[pd.Series, pd.Series], float]], max_rows: int = 1_000_000
+    df: DataFrame, y: str, p: str, by: Sequence[str], metrics: dict[str, Callable[[pd.Series, pd.Series], float] | Steps], max_rows: int = 1_000_000
 ) -> DataFrame:
-    """User metrics written as plain (y_true, y_pred) -> float functions, one call per group.
+    """User metrics in Python: as ``Steps`` for groups of any size, or as plain (y_true, y_pred) -> float functions.
 
-    Such a function needs its whole group in memory, so the group sizes are checked first; larger
-    groups need the metric as a column expression.
+    A plain function needs its whole group in memory in one call, so the group sizes are checked first;
+    larger groups need ``Steps`` or a column expression (medians: ``operators.quantiles``).
     """
+    plain = {n: m for n, m in metrics.items() if not isinstance(m, Steps)}
+    steps = {n: m for n, m in metrics.items() if isinstance(m, Steps)}
+    if steps and not plain:
+        return score_steps(df, y, p, by, steps)
     largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if largest > max_rows:
-        raise ValueError(f"a group has {largest} rows, more than {max_rows}: write the metric as a column expression")
+        raise ValueError(f"a group has {largest} rows, more than {max_rows}: write the metric as Steps or as a column expression")
 
     def wrap(fn):
         @F.pandas_udf("double")
@@ -68,7 +130,12 @@ def score_python(
 
         return run(F.col(y).cast("double"), F.col(p).cast("double"))
 
-    return df.groupBy(*by).agg(*[wrap(fn).alias(name) for name, fn in metrics.items()])
+    out = df.groupBy(*by).agg(*[wrap(fn).alias(name) for name, fn in plain.items()])
+    if not steps:
+        return out
+    other = score_steps(df, y, p, by, steps).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *steps)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.lit(True))
+    return out.join(other, same).select(*by, *metrics)
 
 
 def directional_accuracy(

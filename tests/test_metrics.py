@@ -97,3 +97,27 @@ def test_python_metric_checks_group_size(spark):
     assert math.isclose(got, 2.0)
     with pytest.raises(ValueError):
         evaluate.score_python(df, "y", "p", [], {"worst": lambda y, p: 0.0}, max_rows=2)
+
+
+def test_python_metric_in_steps_has_no_row_limit(spark, panel, panel_pdf, monkeypatch):
+    mean = evaluate.Steps(lambda y, p: [(y - p).abs().sum(), (y - p).notna().sum()], lambda a, b: [a[0] + b[0], a[1] + b[1]], lambda s: s[0] / s[1])
+    df = panel.withColumn("p", F.lit(90.0)).withColumn("series", F.when(F.col("series") != "tiny", F.col("series")))
+    monkeypatch.setattr(evaluate, "HELD_GROUPS", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = {r.series: r.mean for r in evaluate.score_python(df, "y", "p", ["series"], {"mean": mean}, max_rows=2).collect()}
+        every = evaluate.score_python(df, "y", "p", [], {"mean": mean}, max_rows=2).first().mean
+        both = evaluate.score_python(df, "y", "p", ["series"], {"n": lambda y, p: len(y), "mean": mean}).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    error = (panel_pdf.y - 90).abs()
+    want = {None if s == "tiny" else s: part.mean() for s, part in error.groupby(panel_pdf.series)}
+    assert got == pytest.approx(want) and every == pytest.approx(error.mean())
+    assert {r.series: (r.n, r.mean) for r in both} == {s: (n, pytest.approx(want[s])) for s, n in (("hot", 600), ("mid", 250), (None, 3))}
+
+
+def test_custom_metric_query_has_no_row_limit(spark, monkeypatch):
+    from rhythmica.plans import catalog
+
+    monkeypatch.setattr(evaluate.score_python, "__defaults__", (2,))
+    assert catalog.QUERIES["custom_metric_and_transform"](spark, "/root/testdata/sf0.001").where("median_error IS NOT NULL").count() > 0
