@@ -19,8 +19,8 @@ Bounds: centroids are at most about 2 * CENTROIDS in all (shards grow beyond tha
 so do the vectors that a pass over all compares, about QUERIES. Comparing all takes one pass per QUERIES vectors.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and rows without a
-label, have no links and are their own component; so do vectors of a length other than their label's most
-frequent; equal rows are copies of each other; a null id has no component; the audited recall is null where
+label, have no links and are their own component; vectors of unequal lengths are not linked, each length of a
+label is a label of its own; equal rows are copies of each other; a null id has no component; the audited recall is null where
 no two unequal vectors are linked; an empty table gives an empty table; further columns are ignored.
 """
 
@@ -408,10 +408,9 @@ def audit(nodes: DataFrame, links: DataFrame, limit: float, total: int) -> float
 
 def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept, and the audited recall."""
-    rows = settled(sound_vectors(table, id_col, vector_col, label_col), "vectors")
-    widths = rows.groupBy("label", F.size("v").alias("w")).count().groupBy("label").agg(F.max_by("w", F.struct("count", "w")).alias("w"))
-    groups = rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n"))
-    nodes = settled(groups.join(widths, "label").where(F.size("v") == F.col("w")).select("label", "v", "node", "n"), "nodes")
+    sound = sound_vectors(table, id_col, vector_col, label_col)
+    rows = settled(sound.withColumn("label", F.concat_ws(":", F.size("v").cast("string"), "label")), "vectors")
+    nodes = settled(rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n")).select("label", "v", "node", "n"), "nodes")
     sizes = nodes.groupBy("label").count().agg(F.sum("count").alias("n"), F.sum(F.col("count").cast("double") ** 2).alias("pairs")).first()
     overlap, beam = OVERLAP, BEAM
     for attempt in range(ATTEMPTS):

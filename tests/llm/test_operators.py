@@ -328,6 +328,13 @@ def test_centroids_of_one_label_come_from_many_tasks(spark, monkeypatch):
     assert len(dealt) == 2001 and all(len(r.shards) == (2 if r.label == "a" else 1) for r in dealt)
 
 
+def test_flat_graph_links_every_length_of_a_label(spark):
+    rows = [(i, [1.0, 2.0, 3.0 + 0.01 * i], 1) for i in range(4)] + [(10, [1.0, 2.0], 1), (11, [1.0, 2.0], 1), (12, [1.0, 2.01], 1), (13, [3.0, -1.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in flatgraph.near_vectors(table).collect()}
+    assert got == {i: (3, 0) for i in range(4)} | {i: (2, 10) for i in (10, 11, 12)} | {13: (0, 13)}
+
+
 def test_top_k_equals_brute_force(spark):
     rows, table = vectors(spark)
     ints = {i: [math.floor(256 * c) for c in v] for i, v, _ in rows} | {903: [256] * 16, 901: [0] * 16}
