@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rhythmica.functions import metrics as M
 from rhythmica.operators.features import history_columns
@@ -78,6 +79,29 @@ def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def emit_to(df: DataFrame, path: str, checkpoint: str, mode: str = "update", trigger: dict | None = None) -> StreamingQuery:
+    """Windows as they change, also those still open when the input ends; ``last_values`` reads them back.
+
+    ``mode``: update or complete; ``trigger``: the arguments of a Spark trigger, ``availableNow`` by default.
+    Each micro-batch overwrites its own folder, so a repeated batch leaves no duplicates.
+    """
+    if mode not in ("update", "complete"):
+        raise ValueError(f"unknown mode {mode!r}: append never emits open windows")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
+    return query.trigger(**({"availableNow": True} if trigger is None else trigger)).start()
+
+
+def last_values(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """Per key the row that the last micro-batch with it wrote to ``path``."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(path)
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch").alias("_row"))
+    return last.select("_row.*")
+
+
 def online_lags(
     stream: DataFrame,
     series: Sequence[str],

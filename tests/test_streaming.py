@@ -1,6 +1,7 @@
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from rhythmica.operators import validate
@@ -80,3 +81,23 @@ def test_accuracy_windows_drop_late_rows(spark, tmp_path):
         (day(3), 1, 100.0, 1),
         (day(6), 1, 0.0, 0),
     ]
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+@pytest.mark.parametrize("slide", [None, "12 hours"])
+def test_open_windows_are_emitted(spark, tmp_path, mode, slide):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    keys = ["window_start", "event_type"]
+    # three deliveries in time order, so that a window is emitted more than once
+    ends = [r.ts for r in events.orderBy("ts", "event_id").select("ts").collect()]
+    ends = [ends[len(ends) // 3], ends[2 * len(ends) // 3]]
+    third = F.when(F.col("ts") < F.lit(ends[0]), 0).when(F.col("ts") < F.lit(ends[1]), 1).otherwise(2)
+    for k in range(3):
+        events.where(third == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", events, "*.parquet").withColumn("p", F.lit(10.0))
+        windows = jobs.accuracy_windows(stream, "ts", "value", "p", ["event_type"], "1 day", slide, late="1 hour")
+        jobs.run_to_end(jobs.emit_to(windows, f"{tmp_path}/out", f"{tmp_path}/checkpoint", mode))
+    got = jobs.last_values(spark, f"{tmp_path}/out", windows.schema, keys)
+    want = jobs.accuracy_windows(events.withColumn("p", F.lit(10.0)), "ts", "value", "p", ["event_type"], "1 day", slide)
+    sizes = {(r.window_start, r.event_type): (r.n, pytest.approx(r.rmse)) for r in want.collect()}
+    assert {(r.window_start, r.event_type): (r.n, r.rmse) for r in got.collect()} == sizes and got.count() == len(sizes)
