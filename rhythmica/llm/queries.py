@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bagminhash, bpe, ctw, flatgraph, linefirst, packing, quality, sharding, toxicity, vafile, warc
+from rhythmica.llm import bagminhash, bpe, collocations, ctw, flatgraph, linefirst, packing, quality, sharding, toxicity, vafile, warc
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,11 @@ def op11(spark, sf_dir):
     return linefirst.clean_lines(load(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query("op12_phrase_collocations", collocations.SQL)
+def op12(spark, sf_dir):
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
