@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rhythmica.llm import bagminhash, bpe, collocations, ctw, flatgraph, linefirst, packing, quality, sharding, toxicity, vafile, warc
+from rhythmica.llm import alignment, bagminhash, bpe, collocations, ctw, flatgraph, linefirst, packing, quality, sharding, toxicity, vafile, warc
 from rhythmica.session import utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,13 @@ def op12(spark, sf_dir):
     return collocations.collocations(load(spark, sf_dir, "documents"))
 
 
+@query("op13_cross_tokenizer_alignment")
+def op13(spark, sf_dir):
+    import public_tokenizers
+
+    return alignment.align(load(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
