@@ -29,12 +29,11 @@ MIN_WORDS, REPEAT_SHARE = 50, 50
 SYMBOL_SHARE, SHOUT_SHARE, ITEM_WORDS, LOST_SHARE = 30, 50, 4, 30
 
 SPACE = "\\x20\\x09-\\x0D"
-SYMBOLS = "#*$%&|<>"
 SYMBOL = "[#*$%&|<>]"
 #: A word at the end of a sentence: its mark, then closing marks.
 TERMINAL = """[.!?:;…。！？]["')\\]}»”’]*\\z"""
 SEPARATOR = "^[|»›>•·/]+\\z"
-#: In lines whose letters A-Z are lower-cased.
+#: Whatever the case of the letters A-Z.
 BOILERPLATE = (
     "all rights reserved|terms of (use|service)|privacy policy|cookie|javascript|lorem ipsum|click here|"
     "sign up|subscribe to|copyright|licensed under|powered by|skip to content"
@@ -49,11 +48,12 @@ def words_of(text: Column) -> Column:
 def line_fails(line: Column, words: Column) -> Column:
     """Whether one of the rules removes a line, given its words."""
     n = F.size(words)
-    share = lambda pattern: 100 * F.size(F.filter(words, lambda w: w.rlike(pattern)))
-    punctuation = (share(TERMINAL) == 0) | (share(SYMBOL) > SYMBOL_SHARE * n) | (share("!\\z") > SHOUT_SHARE * n)
-    separators = F.size(F.filter(words, lambda w: w.rlike(SEPARATOR)))
+    # words are looked at one by one only where the line has such a mark at all
+    count = lambda marks, pattern: F.when(line.rlike(marks), F.size(F.filter(words, lambda w: w.rlike(pattern)))).otherwise(0)
+    punctuation = ~F.exists(words, lambda w: w.rlike(TERMINAL)) | (100 * count(SYMBOL, SYMBOL) > SYMBOL_SHARE * n) | (100 * count("!", "!\\z") > SHOUT_SHARE * n)
+    separators = count(SEPARATOR.strip("^+\\z"), SEPARATOR)
     navigation = (separators >= 2) & (n - separators < ITEM_WORDS * separators)
-    return punctuation | navigation | F.translate(line, UPPER, LOWER).rlike(BOILERPLATE)
+    return punctuation | navigation | line.rlike(f"(?i){BOILERPLATE}")
 
 
 def sorted_windows(words: Column) -> Column:
@@ -75,13 +75,12 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id",
         words_of(F.col("text")).alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{SPACE}]")).alias("lines"),
-        count(F.char_length(F.translate("text", " \t\n\x0b\f\r", ""))).alias("word_chars"),
-        count(F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).alias("n_symbols"),
+        count(F.when(F.col("text").rlike(SYMBOL), F.char_length("text") - F.char_length(F.regexp_replace("text", f"{SYMBOL}+", ""))).otherwise(0)).alias("n_symbols"),
     )
     judged = lambda line: (lambda words: F.struct(line.alias("line"), F.size(words).alias("n"), line_fails(line, words).alias("fails")))
     first = F.transform(F.array_distinct("lines"), lambda x: F.element_at(F.transform(F.array(words_of(x)), judged(x)), 1))
     rows = rows.select(
-        "doc_id", "word_chars", "n_symbols", count(F.size("words")).alias("n_words"), count(F.size("lines")).alias("n_lines"), first.alias("first"), sorted_windows(F.col("words")).alias("w")
+        "doc_id", count(F.char_length(F.array_join("words", ""))).alias("word_chars"), "n_symbols", count(F.size("words")).alias("n_words"), count(F.size("lines")).alias("n_lines"), first.alias("first"), sorted_windows(F.col("words")).alias("w")
     )
     hash_at = lambda k: F.get("w", k)["h"]
     alike = lambda k: hash_at(k).eqNullSafe(hash_at(k + 1)) | hash_at(k).eqNullSafe(hash_at(k - 1))
