@@ -131,7 +131,7 @@ def op12(spark, sf_dir):
 def op13(spark, sf_dir):
     import public_tokenizers
 
-    return alignment.align(load(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    return alignment.align(load(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")), public_tokenizers.PATTERN)
 
 
 @query("pipeline")
