@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al., 2014).
 
 Between steps each task replaces the edges it holds by a spanning forest of stars, which joins the same
-nodes with fewer and shorter paths, so that few steps are needed.
+nodes with fewer and shorter paths, so that few steps are needed. A node leaves with an edge for each task that holds
+one of its edges, so the edges are gathered into as few tasks as CHUNK edges a task allow before they are contracted.
 """
 
 from __future__ import annotations
@@ -60,6 +61,20 @@ def contracted(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")).mapInArrow(_contracted, "u bigint, v bigint")
 
 
+def gathered(edges: DataFrame) -> DataFrame:
+    """Contract stored edges in tasks of about CHUNK edges, again and again as long as that halves them."""
+    n = edges.count()
+    while n:
+        tasks = -(-n // CHUNK)
+        if tasks >= edges.rdd.getNumPartitions():
+            return edges
+        edges = settled(contracted(edges.coalesce(tasks)), "edges")
+        before, n = n, edges.count()
+        if tasks == 1 or 2 * n > before:
+            return edges
+    return edges
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Per node that has an edge to another node: node, component (its smallest node).
 
@@ -67,8 +82,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node may hold any share of the edges: its rows are salted. Each step is written to the shared folder.
     """
     rows = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    # again after a shuffle, where edges of other tasks meet
-    rows = settled(contracted(contracted(rows).distinct()), "edges")
+    rows = gathered(settled(contracted(rows), "edges"))
     while True:
         both = rows.unionByName(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
         ends = settled(both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most"), F.count(F.lit(1)).alias("n")), "ends")
@@ -81,4 +95,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = settled(contracted(large), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        rows = settled(contracted(small.where("u <> v").distinct()), "edges")
+        rows = gathered(settled(contracted(small.where("u <> v").distinct()), "edges"))
