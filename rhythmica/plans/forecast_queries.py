@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from rhythmica.forecast import additive, arima, base, ensemble, intervals, smoothing, trees
+from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, trees
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.functions import metrics as M
 
@@ -89,6 +89,37 @@ def _(spark, sf):
     return out.select("series", r("level", 3).alias("level"), "n")
 
 
+_ETS = ets.EtsSpec(season=4, alphas=(0.1, 0.3, 0.6), betas=(0.02, 0.1), gammas=(0.1, 0.3), phis=(0.9, 1.0))
+
+
+def _values(name: str, numbers) -> str:
+    return f"(VALUES {', '.join(f'({x}::DOUBLE)' for x in numbers)}) {name}_({name})"
+
+
+@query(
+    "ets_panel",
+    f"""WITH RECURSIVE {PANEL_SQL}, n AS (SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY week) - 1 AS i, COUNT(*) OVER (PARTITION BY series) AS n FROM panel),
+       h AS (SELECT series, any_value(n) AS n, list(y ORDER BY i) FILTER (i < 4) AS a, list(y ORDER BY i) FILTER (i BETWEEN 4 AND 7) AS b FROM n GROUP BY series),
+       grid AS (SELECT * FROM {_values("alpha", _ETS.alphas)}, {_values("beta", _ETS.betas)}, {_values("gamma", _ETS.gammas)}, {_values("phi", _ETS.phis)} WHERE beta <= alpha AND gamma <= 1 - alpha),
+       s AS (SELECT series, n, alpha, beta, gamma, phi, 3 AS i, list_avg(a) AS level, (list_avg(b) - list_avg(a)) / 4 AS slope, list_transform(a, lambda x: x - list_avg(a)) AS season, 0::DOUBLE AS sse FROM h, grid
+             UNION ALL
+             SELECT series, n, alpha, beta, gamma, phi, j, level + phi * slope + alpha * e, phi * slope + beta * e, list_append(season[2:], season[1] + gamma * e), sse + e * e
+             FROM (SELECT s.*, p.i AS j, p.y - (level + phi * slope + season[1]) AS e FROM s JOIN n p ON p.series = s.series AND p.i = s.i + 1)),
+       best AS (SELECT * FROM s WHERE i = n - 1 QUALIFY row_number() OVER (PARTITION BY series ORDER BY sse) = 1)
+       SELECT series, n, alpha, beta, gamma, phi, {R("level", 3)} AS level, {R("slope", 3)} AS slope, {R("sqrt(sse / (n - 4))", 3)} AS rmse,
+         {R("level + phi * slope + season[1]", 2)} AS step_1, {R("level + (phi + phi * phi) * slope + season[2]", 2)} AS step_2,
+         {R("sqrt(sse / (n - 4) * (1 + (alpha + beta * phi) * (alpha + beta * phi)))", 3)} AS std_2 FROM best""",
+)
+def _(spark, sf):
+    fit = ets.fit_ets(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", _ETS, panel_layout())
+    at = lambda k, c: F.max(F.when(F.col("step") == k, F.col(c)))
+    steps = fit.forecast(2).groupBy("series").agg(at(1, "yhat").alias("step_1"), at(2, "yhat").alias("step_2"), at(2, "std").alias("std_2"))
+    return fit.models.join(steps, "series").select(
+        "series", "n", "alpha", "beta", "gamma", "phi", r("level", 3).alias("level"), r("slope", 3).alias("slope"), r(F.sqrt(F.col("sse") / (F.col("n") - 4)), 3).alias("rmse"),
+        r("step_1", 2).alias("step_1"), r("step_2", 2).alias("step_2"), r("std_2", 3).alias("std_2"),
+    )
+
+
 _AR1_SQL = f"""{PANEL_SQL}, d AS (SELECT series, week, y, y - lag(y, 1) OVER w AS d0, lag(y, 1) OVER w - lag(y, 2) OVER w AS d1 FROM panel WINDOW w AS (PARTITION BY series ORDER BY week)),
   fit AS (SELECT series, regr_slope(d0, d1) AS slope, regr_intercept(d0, d1) AS intercept, regr_count(d0, d1) AS n FROM d GROUP BY series),
   last AS (SELECT series, arg_max(y, week) AS y, arg_max(d0, week) AS d0 FROM d GROUP BY series)"""
