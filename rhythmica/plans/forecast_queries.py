@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, trees
+from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, stl, trees
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.functions import metrics as M
 
@@ -120,6 +120,18 @@ def _(spark, sf):
     )
 
 
+@query("stl_panel")
+def _(spark, sf):
+    spec = stl.StlSpec(period=52, seasonal=7, outer=1)
+    return stl.decompose(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", spec, panel_layout()).drop("_pos", "_n")
+
+
+@query("stl_forecast_panel")
+def _(spark, sf):
+    spec = stl.StlSpec(period=13, seasonal=9)
+    return stl.forecast_stl(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", spec, 26, layout=panel_layout())
+
+
 _AR1_SQL = f"""{PANEL_SQL}, d AS (SELECT series, week, y, y - lag(y, 1) OVER w AS d0, lag(y, 1) OVER w - lag(y, 2) OVER w AS d1 FROM panel WINDOW w AS (PARTITION BY series ORDER BY week)),
   fit AS (SELECT series, regr_slope(d0, d1) AS slope, regr_intercept(d0, d1) AS intercept, regr_count(d0, d1) AS n FROM d GROUP BY series),
   last AS (SELECT series, arg_max(y, week) AS y, arg_max(d0, week) AS d0 FROM d GROUP BY series)"""
