@@ -22,10 +22,11 @@ def exponential_level(
 ) -> DataFrame:
     """The final level of l[t] = alpha y[t] + (1 - alpha) l[t-1], l[0] = y[0]: the flat forecast.
 
-    Unrolled, the level is a weighted sum of the values, so it is a plain aggregate over positions
+    Rows without a value are left out before they are numbered. Unrolled, the level is a weighted sum of the values, so it is a plain aggregate over positions
     and long series are summed in parts.
     """
-    rows = with_position(df.select(*dict.fromkeys([*series, *order_by, y])), series, order_by, "_pos", "_n", layout)
+    known = df.select(*dict.fromkeys([*series, *order_by, y])).filter(F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double")))
+    rows = with_position(known, series, order_by, "_pos", "_n", layout)
     age = F.col("_n") - 1 - F.col("_pos")
     share = F.when(F.col("_pos") == 0, F.lit(1.0)).otherwise(F.lit(float(alpha)))
     weighted = share * F.pow(F.lit(1.0 - alpha), age.cast("double")) * F.col(y)

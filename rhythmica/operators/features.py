@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from rhythmica.functions import calendar, cleaning
+from rhythmica.operators.joins import join_per_group
 from rhythmica.operators.layout import Layout, with_windows
 
 # Defaults when no list is given
@@ -121,7 +122,8 @@ def add_difference(
 def series_with_history(df: DataFrame, series: Sequence[str], min_rows: int) -> DataFrame:
     """Rows of the series that have at least ``min_rows`` rows.
 
-    The counts are pre-aggregated per task and come back by a semi join.
+    The counts are pre-aggregated per task and come back by a join that leaves long series in place; a null
+    key is a series of its own.
     """
     enough = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).drop("_n")
-    return df.join(enough, list(series), "left_semi")
+    return join_per_group(df, enough, series, "left_semi")

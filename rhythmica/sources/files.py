@@ -42,15 +42,19 @@ def file_digests(spark: SparkSession, folder: str, extension: str = ".csv") -> D
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Order-free content fingerprint of a table: row count plus two combinations of row hashes.
 
-    The sum notices repeated rows, which cancel out in the exclusive or. The hash of a row is the
-    leading part of the MD5 of its columns as text, so other engines can compute it too.
+    The sum notices repeated rows, which cancel out in the exclusive or. The hash of a row is the MD5 of
+    its columns as text, each after its length (a null: -1), so that no two rows read alike; all 128
+    bits count, in four parts of 32. Other engines can compute it too.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in df.columns])
-    h = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
-    return df.select(h.alias("h")).agg(
+    cells = [F.col(c).cast("string") for c in df.columns]
+    text = F.concat(*[F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-1:")) for c in cells]) if cells else F.lit("")
+    digest = F.md5(text)
+    parts = [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint").alias(f"h{k}") for k in range(4)]
+    sums = [F.coalesce(F.sum(F.col(f"h{k}").cast("decimal(38,0)")), F.lit(0)).cast("string") for k in range(4)]
+    return df.select(*parts).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.bit_xor("h").alias("xor_hash"),
-        F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("sum_hash"),
+        F.concat_ws("-", *[F.coalesce(F.bit_xor(f"h{k}"), F.lit(0)).cast("string") for k in range(4)]).alias("xor_hash"),
+        F.concat_ws("-", *sums).alias("sum_hash"),
     )
 
 

@@ -1,5 +1,6 @@
 """Nulls, NaN and ill-typed text in checks, rankings, summaries, searches and predictions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rhythmica.forecast import intervals, trees
@@ -68,3 +69,33 @@ def test_null_group_keys_are_a_group(spark):
         finally:
             spark.conf.unset("spark.rhythmica.rowsPerBlock")
         assert sorted((r["y"], r["top"]) for r in got) == [(1.0, 3.0), (3.0, 3.0), (5.0, 7.0), (7.0, 7.0)]
+
+
+def test_fingerprints_tell_cells_and_nulls_apart(spark):
+    from rhythmica.sources.files import fingerprint_key
+
+    tables = [[("a|b", "c")], [("a", "b|c")], [("a1:", "c")], [("a", "1:c")], [("<null>", "c")], [(None, "c")], [("-1:", "c")], [("", "c")], [(None, "c"), (None, "c")]]
+    keys = {fingerprint_key(spark.createDataFrame(rows, "x string, y string")) for rows in tables}
+    assert len(keys) == len(tables)
+    assert fingerprint_key(spark.createDataFrame([], "x string")) == "0-0-0-0-0-0-0-0-0"
+
+
+@pytest.mark.parametrize("block", [None, "2"])
+def test_guard_keeps_null_keys_and_long_series(spark, block):
+    from rhythmica.operators.features import series_with_history
+
+    df = spark.createDataFrame([("a", i) for i in range(9)] + [(None, 1), (None, 2), ("b", 1)], "s string, t int")
+    if block:
+        spark.conf.set("spark.rhythmica.rowsPerBlock", block)
+    try:
+        kept = series_with_history(df, ["s"], 2)
+        assert kept.columns == ["s", "t"] and sorted((r.s or "", r.t) for r in kept.collect()) == [("", 1), ("", 2), *[("a", i) for i in range(9)]]
+    finally:
+        spark.conf.unset("spark.rhythmica.rowsPerBlock")
+
+
+def test_smoothing_leaves_nulls_out(spark):
+    from rhythmica.forecast.smoothing import exponential_level
+
+    df = spark.createDataFrame([("a", 0, 10.0), ("a", 1, None), ("a", 2, 10.0), ("a", 3, float("nan")), ("b", 0, None)], "s string, t int, y double")
+    assert [(r.s, r.level, r.n) for r in exponential_level(df, ["s"], ["t"], "y", 0.5).collect()] == [("a", 10.0, 2)]
