@@ -211,6 +211,36 @@ def _(spark, sf):
     return model.predict(df).select("series", "week", r("prediction", 2).alias("prediction"))
 
 
+def _fold_sql(column: str, feature: str) -> str:
+    fits = ", ".join(f"regr_slope(y, {feature}) FILTER (fold < {k}) AS s{k}, regr_intercept(y, {feature}) FILTER (fold < {k}) AS i{k}" for k in (1, 2))
+    return f"{column}_fit AS (SELECT {fits} FROM folded)"
+
+
+_OOF_BASES = {"by_naive": ["naive"], "by_rolling": ["rolling"]}
+
+
+@query(
+    "expanding_stacking",
+    f"""WITH {FORECAST_SQL}, placed AS (SELECT series, week, y, naive, rolling, row_number() OVER (ORDER BY week, series) - 1 AS pos, COUNT(*) OVER () AS n FROM forecasts),
+       cuts AS (SELECT max(week) FILTER (pos = n * 1 // 3 - 1) AS c1, max(week) FILTER (pos = n * 2 // 3 - 1) AS c2 FROM placed),
+       folded AS (SELECT series, week, y, naive, rolling, CAST(week > c1 AS INT) + CAST(week > c2 AS INT) AS fold FROM placed, cuts),
+       {_fold_sql("naive", "naive")}, {_fold_sql("rolling", "rolling")},
+       based AS (SELECT series, week, y, fold, CASE fold WHEN 1 THEN a.i1 + a.s1 * naive WHEN 2 THEN a.i2 + a.s2 * naive END AS by_naive,
+                        CASE fold WHEN 1 THEN b.i1 + b.s1 * rolling WHEN 2 THEN b.i2 + b.s2 * rolling END AS by_rolling FROM folded, naive_fit a, rolling_fit b),
+       m AS (SELECT COUNT(*) AS n, avg(y) AS my, avg(by_naive) AS ma, avg(by_rolling) AS mb, var_pop(by_naive) + 1000.0 / COUNT(*) AS aa, var_pop(by_rolling) + 1000.0 / COUNT(*) AS bb,
+                    covar_pop(by_naive, by_rolling) AS ab, covar_pop(by_naive, y) AS ay, covar_pop(by_rolling, y) AS yb FROM based WHERE fold > 0),
+       c AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS ca, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS cb FROM m)
+       SELECT series, week, fold, {R("by_naive", 2)} AS by_naive, {R("by_rolling", 2)} AS by_rolling,
+              {R("my - ca * ma - cb * mb + ca * by_naive + cb * by_rolling", 2)} AS prediction FROM based, c WHERE fold > 0""",
+    dates=["week"],
+)
+def _(spark, sf):
+    df = stored_forecasts(spark, sf).select("series", "week", "y", "naive", "rolling")
+    based = settled(ensemble.expanding_out_of_fold(df, "y", _OOF_BASES, ["week", "series"]).where("fold > 0"), "based")
+    stacked = ensemble.Stacking(list(_OOF_BASES), alpha=1000.0).fit(based, "y").predict(based)
+    return stacked.select("series", "week", "fold", *[r(c, 2).alias(c) for c in (*_OOF_BASES, "prediction")])
+
+
 def _value_features(spark, sf):
     """Event-level supervised table with signal: price from quantity, size and discount."""
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_extendedprice")

@@ -241,3 +241,40 @@ def test_missing_targets_are_left_out(spark):
     holes = df.unionByName(spark.createDataFrame([("a", 1000, None), ("a", 1001, float("nan"))], df.schema))
     want, got = (arima.fit_arima(d, ["series"], ["t"], "y").forecast(3).orderBy("step").collect() for d in (df, holes))
     assert [r["yhat"] for r in got] == pytest.approx([r["yhat"] for r in want])
+
+
+@pytest.mark.parametrize("block", [None, "40"])
+def test_expanding_folds_learn_from_earlier_rows_only(spark, block):
+    rng = np.random.default_rng(11)
+    n = 200
+    t = np.sort(rng.integers(0, 90, n))  # times repeat
+    a, b = rng.normal(5, 2, n), rng.normal(-3, 1, n)
+    y = np.where(np.arange(n) < 100, 2 * a - b, 5 * a + b) + rng.normal(0, 0.1, n)
+    rows = [(int(t[i]), i, float(a[i]), float(b[i]), float(y[i])) for i in range(n)]
+    rows[7] = (rows[7][0], 7, None, 1.0, 2.0)  # teaches nothing about a
+    df = spark.createDataFrame([*rows, (None, 999, 1.0, 1.0, 1.0)], "t int, id int, a double, b double, y double").repartition(4)
+    if block:
+        spark.conf.set("spark.rhythmica.rowsPerBlock", block)
+    try:
+        got = {r.id: r for r in ensemble.expanding_out_of_fold(df, "y", {"both": ["a", "b"], "one": ["b"]}, ["t", "id"], folds=4).collect()}
+    finally:
+        spark.conf.unset("spark.rhythmica.rowsPerBlock")
+    assert len(got) == n + 1 and got[999].fold == 0 and got[0].both is None
+    ends = [t[n * k // 4 - 1] for k in (1, 2, 3)]
+    fold = np.array([sum(x > e for e in ends) for x in t])
+    for i in range(n):
+        assert got[i].fold == fold[i]
+        past = [j for j in range(n) if fold[j] < fold[i]]
+        assert all(t[j] < t[i] for j in past)
+        for name, xs in (("both", (a, b)), ("one", (b,))):
+            if not past or (i == 7 and name == "both"):
+                assert got[i][name] is None
+                continue
+            # the undated row is in fold 0; row 7 has no a, and its b and y are 1 and 2
+            used = [j for j in past if not (j == 7 and name == "both")]
+            x = np.array([[1.0, *(1.0 if j == 7 else v[j] for v in xs)] for j in used] + [[1.0] * (1 + len(xs))])
+            z = np.array([2.0 if j == 7 else y[j] for j in used] + [1.0])
+            want = np.linalg.lstsq(x, z, rcond=None)[0] @ np.array([1.0, *(1.0 if i == 7 else v[i] for v in xs)])
+            assert got[i][name] == pytest.approx(want, rel=1e-8)
+    with pytest.raises(ValueError):
+        ensemble.expanding_folds(df, ["t", "id"], 1)
