@@ -173,10 +173,16 @@ def _vectors(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def sound_vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+def comparable(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """All rows as vec_id, label, v and whether they can link with anything (sound)."""
     rows = table.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    sound = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
-    return rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL").where(sound)
+    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
+    sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & finite
+    return rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
+
+
+def sound_vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    return comparable(table, id_col, vector_col, label_col).where("sound").drop("sound")
 
 
 def _nearest(x: np.ndarray, centre: np.ndarray, most: int) -> np.ndarray:
@@ -410,7 +416,9 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
     """Per row: vec_id, n_links, component_id, kept, and the audited recall."""
     sound = sound_vectors(table, id_col, vector_col, label_col)
     rows = settled(sound.withColumn("label", F.concat_ws(":", F.size("v").cast("string"), "label")), "vectors")
-    nodes = settled(rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n")).select("label", "v", "node", "n"), "nodes")
+    # an id can have several vectors, so nodes are numbered; the numbers hold once they are written
+    named = settled(rows.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = named.select("label", "v", "node", "n")
     sizes = nodes.groupBy("label").count().agg(F.sum("count").alias("n"), F.sum(F.col("count").cast("double") ** 2).alias("pairs")).first()
     overlap, beam = OVERLAP, BEAM
     for attempt in range(ATTEMPTS):
@@ -430,13 +438,14 @@ def near_vectors(table: DataFrame, limit: float = LIMIT, id_col: str = "vec_id",
             links = found.groupBy("node").agg(F.sum("links").alias("links"))
             break
     classes = components(found.where("node <> joined"), "node", "joined")
-    of_node = nodes.select("label", "v", "node", "n").join(links, "node").join(classes, "node", "left")
-    of_node = of_node.select("label", "v", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    of_node = settled(named.join(links, "node").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node")), "of-node")
+    smallest = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_node = join_one(of_node, smallest, "component", F.xxhash64("node")).select("label", "v", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
     # copies meet their node: a common vector may hold much of the table
     key = F.xxhash64("label", "v").alias("key")
     wanted = settled(rows.select("vec_id", "label", "v", key), "rows")
     met = join_one(wanted, of_node.select(key, F.col("label").alias("l"), F.col("v").alias("w"), "n_links", "component_id"), "key", F.xxhash64("vec_id")).where("label = l AND v = w")
-    met = met.select("vec_id", "n_links", "component_id").distinct()
-    every = table.select(F.col(id_col).cast("bigint").alias("vec_id")).join(met, "vec_id", "left")
-    out = every.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    # row by row, as an id can occur more than once: each sound row met its own vector, the others link with nothing
+    rest = comparable(table, id_col, vector_col, label_col).where("NOT sound").select("vec_id", F.lit(0).alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = met.select("vec_id", F.col("n_links").cast("bigint").alias("n_links"), "component_id").unionByName(rest)
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).withColumn("audited_recall", F.lit(recall).cast("double"))

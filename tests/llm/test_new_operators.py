@@ -221,3 +221,12 @@ def test_edges_of_one_group_over_many_tasks_become_a_tree(spark):
     assert components.gathered(settled(components.contracted(df), "edges")).count() <= nodes - 1
     found = components.components(df, "u", "v").collect()
     assert len(found) == nodes and {r.component for r in found} == {0}
+
+
+def test_repeated_vector_ids_give_a_row_each(spark):
+    from rhythmica.llm import flatgraph
+
+    rows = [(1, [1.0, 0.0], "a", 7), (1, [0.0, 1.0], "a", 7), (2, [1.0, 0.01], "a", 7), (1, [1.0, 0.0], "a", 7), (3, None, "a", 7), (3, [0.0, 0.0], "a", 7), (4, [1.0, None], "a", 7), (5, [1.0, 0.0], None, 7)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string, node int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in flatgraph.near_vectors(df).collect())
+    assert got == [(1, 0, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (3, 0, 3), (4, 0, 4), (5, 0, 5)]
