@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, stl, trees
+from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, stl, svd, trees
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.functions import metrics as M
 
@@ -120,6 +120,31 @@ def _(spark, sf):
     )
 
 
+@query(
+    "svd_rebuild_panel",
+    f"""WITH RECURSIVE {PANEL_SQL}, g AS (SELECT a.region, a.series AS s, b.series AS t, SUM(a.y / 1000 * (b.y / 1000)) AS g FROM panel a JOIN panel b USING (region, week) GROUP BY ALL),
+       u AS (SELECT DISTINCT region, s, 1::DOUBLE AS u, 0 AS i FROM g
+             UNION ALL
+             SELECT region, s, x / sqrt(SUM(x * x) OVER (PARTITION BY region)), i + 1
+             FROM (SELECT region, g.s, i, SUM(g.g * u.u) AS x FROM u JOIN g USING (region) WHERE g.t = u.s AND i < 200 GROUP BY region, g.s, i)),
+       one AS (SELECT region, s AS series, u FROM u WHERE i = 200),
+       course AS (SELECT region, week, SUM(u * y) AS v FROM panel JOIN one USING (region, series) GROUP BY region, week)
+       SELECT region, series, week, {R("u * v", 1)} AS fitted, {R("sqrt(SUM(v * v) OVER (PARTITION BY region, series))", 1)} AS weight
+       FROM one JOIN course USING (region)""",
+    dates=["week"],
+)
+def _(spark, sf):
+    fit = svd.fit_svd(panel(spark, sf).select("region", "series", "week", "y"), ["region"], ["series"], "week", "y", 1, center=False)
+    weight = fit.components.select("region", r(F.col("weights")[0], 1).alias("weight"))
+    return fit.rebuild().join(weight, "region").select("region", "series", "week", r("fitted", 1).alias("fitted"), "weight")
+
+
+@query("svd_forecast_panel")
+def _(spark, sf):
+    fit = svd.fit_svd(panel(spark, sf).select("region", "series", "week", "y"), ["region"], ["series"], "week", "y", 2)
+    return fit.forecast(8, ets.EtsSpec(season=4)).select("region", "series", "step", r("yhat", 2).alias("yhat"))
+
+
 @query("stl_panel")
 def _(spark, sf):
     spec = stl.StlSpec(period=52, seasonal=7, outer=1)
