@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from rhythmica.forecast import additive, arima, base, ensemble, ets, intervals, smoothing, stl, svd, trees
+from rhythmica.forecast import additive, arima, base, ensemble, ets, fourier, intervals, smoothing, stl, svd, trees
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.functions import metrics as M
 
@@ -120,6 +120,47 @@ def _(spark, sf):
     )
 
 
+def _two_regressors(y: str, a: str, b: str) -> str:
+    """SQL of both slopes and the intercept of y on a and b."""
+    det = f"(var_pop({a}) * var_pop({b}) - covar_pop({a}, {b}) ** 2)"
+    one = f"((covar_pop({y}, {a}) * var_pop({b}) - covar_pop({y}, {b}) * covar_pop({a}, {b})) / {det})"
+    two = f"((covar_pop({y}, {b}) * var_pop({a}) - covar_pop({y}, {a}) * covar_pop({a}, {b})) / {det})"
+    return f"{one} AS b1, {two} AS b2, avg({y}) - {one} * avg({a}) - {two} * avg({b}) AS b0"
+
+
+@query(
+    "fourier_ar_panel",
+    f"""WITH {PANEL_SQL}, n AS (SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY week) - 1 AS t FROM panel),
+       w AS (SELECT series, t, y, cos(2 * pi() * (t % 52) / 52) AS c, sin(2 * pi() * (t % 52) / 52) AS s FROM n),
+       l AS (SELECT *, lag(y) OVER w AS y1, lag(c) OVER w AS c1, lag(s) OVER w AS s1 FROM w WINDOW w AS (PARTITION BY series ORDER BY t)),
+       first AS (SELECT series, {_two_regressors("y", "c", "s")} FROM l WHERE t > 0 GROUP BY series),
+       ar AS (SELECT series, regr_slope(y - b1 * c - b2 * s, y1 - b1 * c1 - b2 * s1) AS phi FROM l JOIN first USING (series) WHERE t > 0 GROUP BY series),
+       f AS (SELECT series, t, phi, y - phi * y1 AS fy, c - phi * c1 AS fc, s - phi * s1 AS fs FROM l JOIN ar USING (series) WHERE t > 0),
+       second AS (SELECT series, COUNT(*) AS n, any_value(phi) AS phi, {_two_regressors("fy", "fc", "fs")} FROM f GROUP BY series),
+       e AS (SELECT series, sqrt(SUM((fy - b0 - b1 * fc - b2 * fs) ** 2) / any_value(n - 4)) AS sigma FROM f JOIN second USING (series) GROUP BY series),
+       z AS (SELECT series, max(t) + 1 AS t, arg_max(y, t) AS y, arg_max(c, t) AS c, arg_max(s, t) AS s FROM w GROUP BY series)
+       SELECT series, n, {R("b1", 2)} AS cosine, {R("b2", 2)} AS sine, {R("m.phi", 6)} AS phi, {R("b0", 2)} AS intercept, {R("sigma", 2)} AS sigma,
+         {R("b0 + b1 * cos(2 * pi() * (t % 52) / 52) + b2 * sin(2 * pi() * (t % 52) / 52) + m.phi * (y - b1 * c - b2 * s)", 2)} AS step_1,
+         {R("sigma * sqrt(1 + m.phi * m.phi)", 2)} AS std_2
+       FROM second m JOIN e USING (series) JOIN z USING (series)""",
+)
+def _(spark, sf):
+    spec = fourier.FourierSpec(period=52, harmonics=1, order=1, rounds=1)  # the SQL states one round
+    fit = fourier.fit_fourier(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", spec, panel_layout())
+    at = lambda k, c: F.max(F.when(F.col("step") == k, F.col(c)))
+    steps = fit.forecast(2).groupBy("series").agg(at(1, "yhat").alias("step_1"), at(2, "std").alias("std_2"))
+    return fit.models.where("ok").join(steps, "series").select(
+        "series", "n", r(F.col("beta")[0], 2).alias("cosine"), r(F.col("beta")[1], 2).alias("sine"), r(F.col("phi")[0], 6).alias("phi"),
+        r("intercept", 2).alias("intercept"), r("sigma", 2).alias("sigma"), r("step_1", 2).alias("step_1"), r("std_2", 2).alias("std_2"),
+    )
+
+
+@query("fourier_ar_forecast_panel")
+def _(spark, sf):
+    spec = fourier.FourierSpec(period=365.25 / 7, harmonics=3, order=4)
+    return fourier.fit_fourier(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", spec, panel_layout()).forecast(26)
+
+
 @query(
     "svd_rebuild_panel",
     f"""WITH RECURSIVE {PANEL_SQL}, g AS (SELECT a.region, a.series AS s, b.series AS t, SUM(a.y / 1000 * (b.y / 1000)) AS g FROM panel a JOIN panel b USING (region, week) GROUP BY ALL),
