@@ -347,6 +347,32 @@ def test_top_k_equals_brute_force(spark):
     assert vafile.top_k(table.limit(0), F.lit(True), 5).count() == 0
 
 
+def test_top_k_with_very_many_copies_and_unequal_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, [0.5, -0.25, 0.75]) for i in range(400)]  # a hot vector
+    rows += [(1000 + i, rng.normal(size=3).tolist()) for i in range(150)]
+    rows += [(2000 + i, rng.normal(size=2 + 3 * (i % 2)).tolist()) for i in range(60)]
+    rows += [(3000, []), (3000, []), (3001, [9.0]), (3001, [9.0]), (3010, [1.0, 2.0]), (3010, [-1.0, 5.0]), (None, [1.0]), (3020, None), (3030, [1.0, None])]
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, embedding array<double>, ids string, num int").repartition(7)
+    ints = {(i, tuple(math.floor(256 * c) for c in v)) for i, v in rows if i is not None and v is not None and None not in v}
+    first = {}
+    for i, v in ints:
+        first[i] = min(first.get(i, (9e9,) * 5), v + (0,) * (5 - len(v)))
+    want = set()
+    for q, x in first.items():
+        if q % 10 == 0:
+            best = sorted({(-sum(a * b for a, b in zip(x, v)), i) for i, v in ints if i != q})[:5]
+            want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
+    monkeypatch.setattr(vafile, "READ", 2)
+    candidates = []
+    settled = vafile.settled
+    monkeypatch.setattr(vafile, "settled", lambda df, purpose: candidates.append(settled(df, purpose)) or candidates[-1])
+    assert {tuple(r) for r in vafile.top_k(table, F.col("vec_id") % 10 == 0, 5, block=20).collect()} == want
+    scanned = sum(c.count() for c in candidates if c.columns == ["query_id", "num", "upper", "lower"])
+    assert scanned < 60 * len({q for q, *_ in want})  # not copies times queries
+    assert vafile.top_k(table.where("vec_id = 3000"), F.lit(True), 5).count() == 0
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 60), (60, 50), (7, 7), (None, 3)], "a bigint, b bigint")
     got = {r.node: r.component for r in components.components(edges).collect()}
