@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +17,15 @@ SALTS = 64
 HOT_ROWS = 1000
 
 
-def text_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text, under fixed names, so that further columns cannot clash."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def text_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", others: Sequence[str] = ()) -> DataFrame:
+    """Only the id and the text, under fixed names, so that further columns cannot clash; columns that are
+    to come along are one struct, ``others``."""
+    more = [F.struct(*others).alias("others")] if others else []
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+
+
+def schema_of(rows: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
 
 
 def row_hash(*columns: str | Column) -> Column:

@@ -18,7 +18,7 @@ labels); an empty table gives an empty table; further columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.llm.common import slices, text_of
+from rhythmica.llm.common import schema_of, slices, text_of
 from rhythmica.session import settled
 
 STATISTICS = (
@@ -58,14 +58,16 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    rows = text_of(docs, id_col, text_col)
+def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", others: Sequence[str] = ()) -> DataFrame:
+    rows = text_of(docs, id_col, text_col, others)
+    along = ["text", "others"] if others else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))], ["doc_id", "x"])
+            found = pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), found, *map(part.column, along)], ["doc_id", "x", *along])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    return rows.mapInArrow(run, ", ".join([schema_of(rows, ["doc_id"]), "x array<double>", *([schema_of(rows, along)] if along else [])]))
 
 
 def label_of(labels: DataFrame, column: str, id_col: str = "doc_id") -> DataFrame:
@@ -154,9 +156,11 @@ def fit(rows: DataFrame) -> Discriminant | float:
     return model
 
 
-def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, column: str = "quality", threshold: float = 0.7) -> DataFrame:
-    """Per row: doc_id, score, predicted (1 from ``threshold`` on). ``learn``: which doc_ids may teach."""
-    rows = settled(with_statistics(docs), "statistics")
+def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, column: str = "quality", threshold: float = 0.7, others: Sequence[str] = ()) -> DataFrame:
+    """Per row: doc_id, score, predicted (1 from ``threshold`` on), fitted (whether both classes were learned).
+    ``learn``: which doc_ids may teach; ``others``: columns that come along, in a struct, with the text."""
+    rows = settled(with_statistics(docs, others=others), "statistics")
+    along = ["text", "others"] if others else []
     taught = label_of(labels, column)
     taught = taught if learn is None else taught.where(learn)
     training = settled(rows.join(taught, "doc_id").where("label IN (0, 1)").select("x", "label"), "training")
@@ -168,6 +172,8 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, colum
                 continue
             x = np.array(batch.column("x").to_pylist())
             chance = np.full(len(x), model) if isinstance(model, float) else model.chance(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance), pa.array((chance >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+            results = [batch.column("doc_id"), pa.array(chance), pa.array((chance >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*results, *map(batch.column, along)], ["doc_id", "score", "predicted", *along])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    scored = rows.mapInArrow(run, ", ".join([schema_of(rows, ["doc_id"]), "score double, predicted int", *([schema_of(rows, along)] if along else [])]))
+    return scored.withColumn("fitted", F.lit(not isinstance(model, float)))

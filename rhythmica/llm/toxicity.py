@@ -23,14 +23,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rhythmica.llm.common import slices, splitmix, text_of
+from rhythmica.llm.common import schema_of, slices, splitmix, text_of
 from rhythmica.llm.quality import label_of
 from rhythmica.session import settled
 
@@ -174,10 +174,11 @@ def run_chain(models: list[np.ndarray], x: Sparse) -> list[np.ndarray]:
     return out
 
 
-def score(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, a probability for each category, predicted (1 if toxic's is ``threshold`` or more)."""
-    rows = text_of(docs)
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def score(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold: float = THRESHOLD, others: Sequence[str] = ()) -> DataFrame:
+    """Per row: doc_id, a probability for each category, predicted (1 if toxic's is ``threshold`` or more), fitted
+    (whether there are models). ``others``: columns that come along, in a struct, with the text."""
+    rows = text_of(docs, others=others)
+    along = ["text", "others"] if others else []
     labelled = settled(labelled_texts(docs, labels, column), "labelled")
     chosen, sizes = vocabulary(labelled)
     finder = Finder([x for x, _ in chosen])
@@ -202,6 +203,8 @@ def score(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             chances = run_chain(models, Sparse([finder(t) for t in texts], len(chosen))) if models else [np.full(len(texts), share)] * len(CATEGORIES)
-            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, chances), pa.array((chances[-1] >= threshold).astype(np.int32))], ["doc_id", *CATEGORIES, "predicted"])
+            results = [part.column(0), *map(pa.array, chances), pa.array((chances[-1] >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*results, *map(part.column, along)], ["doc_id", *CATEGORIES, "predicted", *along])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} double" for c in CATEGORIES) + ", predicted int")
+    kinds = [schema_of(rows, ["doc_id"]), *(f"{c} double" for c in CATEGORIES), "predicted int", *([schema_of(rows, along)] if along else [])]
+    return rows.mapInArrow(run, ", ".join(kinds)).withColumn("fitted", F.lit(bool(models)))

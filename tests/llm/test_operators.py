@@ -391,6 +391,29 @@ def test_pipeline_stages_drop_and_keep(spark):
     assert {r.doc_id for r in last.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_pipeline_judges_rows_and_keeps_all_without_a_model(spark, tmp_path):
+    pipeline = importlib.import_module("corpus_pipeline")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*pipeline.COLUMNS)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = quality.score(docs, labels)
+    good = scored.where("predicted = 1").first().doc_id
+    bad = scored.where("predicted = 0").first().doc_id
+    texts = {r.doc_id: r.text for r in docs.where(F.col("doc_id").isin(good, bad)).collect()}
+    words = " ".join(f"w{i}" for i in range(60))
+    more = [(None, texts[good], None, None, None), (None, texts[bad], "en", "s", 1), (good, texts[bad], "en", "s", 1), (-9, words, "en", "s", 1), (-9, words + " end", "en", "s", 1), (None, words, "en", "s", 1), (-8, None, "en", "s", 1), (-8, "", "en", "s", 1)]
+    table = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    verdict = {r.text: r.predicted == 1 for r in table.select("doc_id", "text").join(quality.score(table, labels).select("doc_id", "predicted"), "doc_id").where("doc_id > 0").collect() if r.text not in (texts[good], texts[bad])}
+    kept = collections.Counter(map(tuple, pipeline.good_quality(spark, table, SF).select("doc_id", "text").collect()))
+    assert kept[(None, texts[good])] == 1 and kept[(good, texts[good])] >= 1
+    assert not kept[(None, texts[bad])] and not kept[(good, texts[bad])]
+    assert {t for t, yes in verdict.items() if yes} <= {t for _, t in kept}
+    spark.createDataFrame([], labels.schema).write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (pipeline.good_quality, pipeline.not_toxic):
+        assert stage(spark, table, str(tmp_path)).count() == table.count()
+    near = collections.Counter((r.doc_id, r.text) for r in pipeline.one_of_each(spark, spark.createDataFrame(more[3:], docs.schema), SF).collect())
+    assert sum(near.values()) == 3 and {i for i, _ in near} == {-9, -8} and near[(-8, None)] == near[(-8, "")] == 1
+
+
 def test_stars_of_edges():
     rng = np.random.default_rng(5)
     for nodes, edges in ((50, 20), (200, 180), (400, 390)):
