@@ -1,7 +1,10 @@
 """A corpus through the operators: quality, toxicity, near-duplicates, packing.
 
 Each stage takes the documents that the one before kept, and its decisions take effect; all but the last
-return the columns of documents. Rows without an id cannot be decided on and are dropped by the first stage.
+return the columns of documents. Decisions are made for rows, not for ids: rows without an id and rows
+that share one are judged each on its own text. A classifier that could not be fitted, for want of labels
+of both classes, keeps all. Of the rows of a near-duplicate class the one with the smallest id stays (rows without
+an id last; of equal ids any one); rows without words stay, each as its own class.
 """
 
 from __future__ import annotations
@@ -13,27 +16,29 @@ from rhythmica.llm import bagminhash, packing, quality, toxicity
 from rhythmica.session import settled, utc
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+OTHERS = ("lang", "source", "n_chars")
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these distinct ids, in a sort-merge join whatever the sizes."""
-    return docs.select(*COLUMNS).join(ids.hint("merge"), "doc_id", "left_semi")
+def _rows(scored: DataFrame, kept: str) -> DataFrame:
+    return scored.where(f"{kept} OR NOT fitted").select("doc_id", "text", "others.*").select(*COLUMNS)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, scored.where("predicted = 1").select("doc_id").distinct())
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _rows(quality.score(docs, labels, others=OTHERS), "predicted = 1")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(docs, scored.where("predicted = 0").select("doc_id").distinct())
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _rows(toxicity.score(docs, labels, others=OTHERS), "predicted = 0")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class."""
-    classes = bagminhash.near_classes(docs)
-    return _kept(docs, classes.where("kept").select("doc_id").distinct()).dropDuplicates(["doc_id"])
+    numbered = settled(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")  # numbered once, as written
+    classes = bagminhash.near_classes(numbered, id_col="_row").select(F.col("doc_id").alias("_row"), "class_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = numbered.select("doc_id", "_row").join(classes, "_row").groupBy("class_id").agg(F.min(order)["_row"].alias("_row"))
+    return numbered.join(first.select("_row").hint("merge"), "_row", "left_semi").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +53,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = utc(spark).read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    docs = docs.where(F.col("doc_id").isNotNull())
     for name, stage in STAGES:
         docs = settled(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
