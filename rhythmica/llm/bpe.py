@@ -36,7 +36,7 @@ REMEMBERED = 300_000
 AT_ONCE = 25_000
 #: Bytes of text that a task works on at a time (a longer text is worked on alone).
 SLICE = 1_000_000
-#: Tokens for one decoding query (a longer text is decoded in one query of its own).
+#: Tokens for one decoding query (a longer text takes several, and their bytes are joined).
 TOKENS_AT_ONCE = 250_000
 
 STEPS = """
@@ -160,6 +160,12 @@ class Codec:
         return [b"".join(map(ids.__getitem__, next(rest))) if words is None else b"".join([start(words[0]), *map(after, words[1:])]) for words in split]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
+        step = 4 * TOKENS_AT_ONCE
+        parts = [[x[i : i + step] for i in range(0, len(x), step)] for x in ids]
+        glued = iter(self._glue([p for of in parts for p in of]))
+        return [b"".join([next(glued) for _ in of]) for of in parts]
+
+    def _glue(self, ids: list[bytes]) -> list[bytes]:
         counts = np.array([len(x) // 4 for x in ids], np.int64)
         out = [b""] * len(ids)
         start = 0

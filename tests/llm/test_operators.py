@@ -30,6 +30,16 @@ def documents(spark):
     return [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
 
 
+def test_bpe_decodes_a_text_in_several_queries(monkeypatch):
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = ["", "some words of 日本 and more, " * 9, "a", "", "x y z " * 50]
+    ids = own.encode(texts)
+    for at_once in (1, 7, 100, 250_000):
+        monkeypatch.setattr(bpe, "TOKENS_AT_ONCE", at_once)
+        assert own.decode(ids) == [t.encode() for t in texts]
+    assert own.decode([]) == [] and own.decode([b""]) == [b""]
+
+
 def shingles(text):
     words = (text or "").encode().lower().split()
     return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) > 4 else collections.Counter([tuple(words)] if words else [])
