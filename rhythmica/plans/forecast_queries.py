@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from rhythmica.forecast import additive, arima, base, ensemble, ets, fourier, intervals, smoothing, stl, svd, trees
+from rhythmica.forecast import additive, arima, base, ensemble, ets, fourier, intervals, sarima, smoothing, stl, svd, trees
 from rhythmica.forecast.regression import fit_linear
 from rhythmica.functions import metrics as M
 
@@ -230,6 +230,42 @@ def _(spark, sf):
     return fit.forecast(13)
 
 
+def _moving_average_sql(rounds: int) -> str:
+    """Gauss-Newton rounds for a level and one moving-average term, each a recursion over the rows."""
+    parts = ["f0 AS (SELECT DISTINCT series, 0::DOUBLE AS c, 0::DOUBLE AS q FROM n)"]
+    for k in range(rounds):
+        parts.append(
+            f"""r{k} AS (SELECT n.series, i, y - c AS e, -1::DOUBLE AS gc, 0::DOUBLE AS gq, c, q FROM n JOIN f{k} USING (series) WHERE i = 1
+                UNION ALL SELECT n.series, n.i, n.y - c - q * e, -1 - q * gc, -e - q * gq, c, q FROM r{k} r JOIN n ON n.series = r.series AND n.i = r.i + 1),
+               g{k} AS (SELECT series, any_value(c) AS c, any_value(q) AS q, SUM(gc * gc) AS cc, SUM(gq * gq) AS qq, SUM(gc * gq) AS cq, SUM(gc * e) AS ce, SUM(gq * e) AS qe, SUM(e * e) AS sse,
+                   arg_max(e, i) AS last, COUNT(*) AS n FROM r{k} GROUP BY series),
+               f{k + 1} AS (SELECT series, c - (ce * qq - qe * cq) / (cc * qq - cq * cq) AS c, q - (qe * cc - ce * cq) / (cc * qq - cq * cq) AS q FROM g{k})"""
+        )
+    return ", ".join(parts)
+
+
+@query(
+    "sarima_css_panel",
+    f"""WITH RECURSIVE {PANEL_SQL}, n AS (SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY week) AS i FROM panel), {_moving_average_sql(7)}
+       SELECT series, n, {R("q", 4)} AS ma_1, {R("c", 0)} AS level, {R("sqrt(sse / n)", 2)} AS sigma, {R("c + q * last", 0)} AS step_1, {R("sqrt(sse / n * (1 + q * q))", 2)} AS std_2 FROM g6""",
+)
+def _(spark, sf):
+    df, spec = panel(spark, sf).select("series", "week", "y"), sarima.SarimaSpec(0, 0, 1, trend="c")
+    # the SQL states six undamped rounds, converged or not
+    fit = sarima.fit_sarima(df, PANEL_SERIES, PANEL_ORDER, "y", spec, rounds=6, tolerance=0.0, damping=0.0, layout=panel_layout())
+    at = lambda k, c: F.max(F.when(F.col("step") == k, F.col(c)))
+    steps = fit.forecast(2).groupBy("series").agg(at(1, "yhat").alias("step_1"), at(2, "std").alias("std_2"))
+    return fit.parameters().join(steps, "series").select(
+        "series", "n", r("ma_1", 4).alias("ma_1"), r("level", 0).alias("level"), r("sigma", 2).alias("sigma"), r("step_1", 0).alias("step_1"), r("std_2", 2).alias("std_2")
+    )
+
+
+@query("sarima_season_panel")
+def _(spark, sf):
+    spec = sarima.SarimaSpec(1, 0, 1, 1, 0, 1, 13, "ct")
+    return sarima.fit_sarima(panel(spark, sf).select("series", "week", "y"), PANEL_SERIES, PANEL_ORDER, "y", spec, layout=panel_layout()).forecast(13)
+
+
 @query("arima_users_events")
 def _(spark, sf):
     df = load(spark, sf, "events").select("user_id", "ts", "event_id", "value")
