@@ -6,8 +6,11 @@ import itertools
 import math
 import random
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -15,6 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rhythmica.functions import metrics as M
+from rhythmica.functions.calendar import literal
+from rhythmica.operators.layout import keys_at
+from rhythmica.operators.target_stats import OrderedTargetEncoder
 
 
 @dataclass
@@ -85,6 +91,26 @@ def boosted_trees(
     return TreeForecaster(features, target, learner)
 
 
+@dataclass
+class CategoricalForecaster:
+    """Trees over number columns and category columns; a category enters as its ordered target statistic."""
+
+    learner: TreeForecaster
+    encoder: OrderedTargetEncoder
+
+    def fit(self, df: DataFrame) -> CategoricalForecaster:
+        encoder = self.encoder.fit(df)
+        return CategoricalForecaster(self.learner.fit(encoder.encode_training(df)), encoder)
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return self.learner.predict(self.encoder.encode(df)).drop(*self.encoder.names)
+
+
+def categorical_boosted_trees(features: Sequence[str], categories: Sequence[str], target: str, order_by: Sequence[str], weight: float = 1.0, **settings) -> CategoricalForecaster:
+    encoder = OrderedTargetEncoder(categories, target, order_by, weight)
+    return CategoricalForecaster(boosted_trees([*features, *encoder.names], target, **settings), encoder)
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -109,13 +135,7 @@ def search(
     worst = float("-inf") if maximise else float("inf")
     best, since, rows = worst, 0, []
     for i, params in enumerate(trials):
-        try:
-            fitted = build(**params).fit(train)
-            score = fitted.predict(validation).agg(metric(F.col(y), F.col("prediction")).alias("s")).first()["s"]
-            missing = score is None or math.isnan(score)
-            score, status = (worst, "no score") if missing else (score, "ok")
-        except Exception as e:
-            score, status = worst, f"failed: {type(e).__name__}"
+        score, status = _trial_score(build, params, train, validation, y, metric, worst)
         rows.append((i, {k: str(v) for k, v in params.items()}, score, status))
         better = score > best if maximise else score < best
         best, since = (score, 0) if better else (best, since + 1)
@@ -123,3 +143,49 @@ def search(
             break
     table = train.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, score double, status string")
     return table.orderBy(F.col("score").desc() if maximise else F.col("score").asc(), "trial")
+
+
+def _trial_score(build: Callable[..., object], params: dict, train: DataFrame, validation: DataFrame, y: str, metric: M.Metric, worst: float) -> tuple[float, str]:
+    """Score and status of a trial; parameters that cannot be fitted score worst, a broken session is an error."""
+    try:
+        fitted = build(**params).fit(train)
+        score = fitted.predict(validation).agg(metric(F.col(y), F.col("prediction")).alias("s")).first()["s"]
+    except (PySparkException, ValueError, TypeError) as e:
+        return worst, f"failed: {type(e).__name__}"
+    except Py4JError as e:  # the learner refused the parameters, unless the session is gone
+        train.sparkSession.range(1).count()
+        return worst, f"failed: {type(e).__name__}"
+    return (worst, "no score") if score is None or math.isnan(score) else (score, "ok")
+
+
+def successive_halving(
+    build: Callable[..., object], trials: Sequence[dict], train: DataFrame, validation: DataFrame, y: str, order_by: Sequence[str],
+    rungs: int = 3, eta: int = 2, metric: M.Metric = M.rmse, maximise: bool = False, parallel: int = 4,
+) -> DataFrame:
+    """Trials that fall behind on a short window of the latest training rows are dropped before the next, ``eta`` times longer one.
+
+    The last rung trains on all rows. Of each rung the best ceil(n / eta) go on, ties to the smaller trial number; failed trials
+    never do. Trials of a rung are concurrent Spark jobs, at most ``parallel`` at a time. Equal times (the first of
+    ``order_by``, which ends in a unique tiebreak) are in or out of a window together. One row per rung and trial.
+    """
+    if rungs < 1 or eta < 2:
+        raise ValueError("one rung and a factor of two are needed at least")
+    worst = float("-inf") if maximise else float("inf")
+    time = order_by[0]
+    timed = train.where(F.col(time).isNotNull())
+    shares = [eta ** (rungs - 1 - k) for k in range(rungs)]
+    starts = keys_at(timed, order_by, lambda n: [n - max(n // s, 1) if n else 0 for s in shares])
+    kind, alive, rows = train.schema[time].dataType, list(range(len(trials))), []
+    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
+        for rung, (share, start) in enumerate(zip(shares, starts, strict=True)):
+            window = train if share == 1 or start is None else timed.where(F.col(time) >= literal(start[time], kind))
+            scores = list(pool.map(lambda i: _trial_score(build, trials[i], window, validation, y, metric, worst), alive))  # noqa: B023
+            ranked = sorted(zip(alive, scores, strict=True), key=lambda t: ((-t[1][0] if maximise else t[1][0]), t[0]))
+            sound = [i for i, (_, status) in ranked if status == "ok"]
+            kept = sound[: math.ceil(len(alive) / eta)] if rung < rungs - 1 else sound[:1]
+            rows += [(rung, i, {k: str(v) for k, v in trials[i].items()}, share, score, status, i in kept) for i, (score, status) in ranked]
+            alive = sorted(kept)
+            if not alive:
+                break
+    schema = "rung int, trial int, params map<string,string>, share_of_rows int, score double, status string, kept boolean"
+    return train.sparkSession.createDataFrame(rows, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rhythmica.functions import calendar, cleaning
-from rhythmica.operators import features, fill, leaderboard, profile, split
+from rhythmica.operators import features, fill, leaderboard, profile, split, target_stats
 from rhythmica.operators.layout import with_windows
 from rhythmica.plans.registry import (
     FORECAST_SQL,
@@ -421,3 +421,24 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return forecasts(spark, sf).select("series", "week", "y", "naive", "seasonal", r("rolling", 4).alias("rolling"))
+
+
+_PRICED = "SELECT o_orderkey, o_orderdate, o_orderpriority, o_custkey % 100 AS band, CASE WHEN o_orderkey % 7 <> 3 THEN round(o_totalprice) END AS y FROM orders"
+
+
+def _ordered_sql(category: str) -> str:
+    past = f"OVER (PARTITION BY {category} ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return R(f"(coalesce(SUM(y) {past}, 0) + 10 * m) / (COUNT(y) {past} + 10)", 4)
+
+
+@query(
+    "ordered_target_statistic",
+    f"""WITH t AS ({_PRICED}), p AS (SELECT avg(y) AS m FROM t)
+       SELECT o_orderkey, {_ordered_sql("o_orderpriority")} AS priority_target, {_ordered_sql("band")} AS band_target FROM t, p""",
+)
+def _(spark, sf):
+    order = ["o_orderdate", "o_orderkey"]
+    known = F.when(F.col("o_orderkey") % 7 != 3, F.round("o_totalprice"))  # rows without a target are encoded too
+    df = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_orderpriority").alias("priority"), (F.col("o_custkey") % 100).alias("band"), known.alias("y"))
+    out = target_stats.OrderedTargetEncoder(["priority", "band"], "y", order, weight=10.0, prior=target_stats.mean_target(df, "y")).encode_training(df)
+    return out.select("o_orderkey", r("priority_target", 4).alias("priority_target"), r("band_target", 4).alias("band_target"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rhythmica.forecast import additive, arima, base, ensemble, ets, fourier, intervals, sarima, smoothing, stl, svd, trees
-from rhythmica.forecast.regression import fit_linear
+from rhythmica.forecast.regression import LinearForecaster, fit_linear
 from rhythmica.functions import metrics as M
 
 from rhythmica.operators.layout import with_windows
@@ -386,6 +386,48 @@ def _(spark, sf):
     )
 
 
+_RUNG_TRIALS = [{"feature": c} for c in ("l_tax", "l_quantity", "l_discount", "p_size", "p_retailprice")]
+
+
+def _rung_sql(rung: int, share: int) -> str:
+    """Scores of the trials that are alive in a rung, by regressions on one feature."""
+    window = "l_shipdate < TIMESTAMP '2000-01-01'" + ("" if share == 1 else f" AND l_shipdate >= (SELECT min(l_shipdate) FILTER (i = n - greatest(n // {share}, 1)) FROM placed)")
+    scores = " UNION ALL ".join(
+        f"""SELECT {i} AS trial, sqrt(avg((y - b - a * x) ** 2)) AS score FROM (SELECT l_extendedprice AS y, {t["feature"]} AS x FROM rows WHERE l_shipdate >= TIMESTAMP '2000-01-01'),
+            (SELECT regr_slope(l_extendedprice, {t["feature"]}) AS a, regr_intercept(l_extendedprice, {t["feature"]}) AS b FROM rows WHERE {window})"""
+        for i, t in enumerate(_RUNG_TRIALS)
+    )
+    alive = f"trial IN (SELECT trial FROM rung{rung - 1} WHERE kept)" if rung else "TRUE"
+    keep = "1" if share == 1 else "ceil(COUNT(*) OVER () / 2)"
+    return f"rung{rung} AS (SELECT {rung}::INT AS rung, trial::INT AS trial, {share}::INT AS share_of_rows, score, row_number() OVER (ORDER BY score, trial) <= {keep} AS kept FROM ({scores}) WHERE {alive})"
+
+
+@query(
+    "successive_halving_lineitem",
+    f"""WITH rows AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_extendedprice, l_quantity, l_discount, l_tax, p_retailprice, CAST(p_size AS DOUBLE) AS p_size FROM lineitem JOIN part ON l_partkey = p_partkey),
+       placed AS (SELECT l_shipdate, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS i, COUNT(*) OVER () AS n FROM rows WHERE l_shipdate < TIMESTAMP '2000-01-01'),
+       {_rung_sql(0, 4)}, {_rung_sql(1, 2)}, {_rung_sql(2, 1)}
+       SELECT rung, trial, share_of_rows, {R("score", 3)} AS score, kept FROM (SELECT * FROM rung0 UNION ALL SELECT * FROM rung1 UNION ALL SELECT * FROM rung2)""",
+)
+def _(spark, sf):
+    df = settled(_value_features(spark, sf), "rungs")
+    out = trees.successive_halving(
+        lambda feature: LinearForecaster([feature], "l_extendedprice"), _RUNG_TRIALS, df.filter("not is_validation"), df.filter("is_validation"), "l_extendedprice",
+        ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
+    )
+    return out.select("rung", "trial", "share_of_rows", r("score", 3).alias("score"), "kept")
+
+
+@query("categorical_boosting_lineitem")
+def _(spark, sf):
+    brands = load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    df = settled(_value_features(spark, sf).join(brands, "l_partkey"), "trees")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+    model = trees.categorical_boosted_trees(["l_quantity", "l_discount"], ["l_partkey", "p_brand", "p_type"], "l_extendedprice", order, weight=5.0, rounds=8, depth=4)
+    scored = model.fit(df.filter("not is_validation")).predict(df.filter("is_validation"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), M.r2("l_extendedprice", "prediction").alias("r2"), M.mae("l_extendedprice", "prediction").alias("mae"))
+
+
 @query("additive_forecast")
 def _(spark, sf):
     df = stored_panel(spark, sf).select("series", "week", "y", "holiday")
