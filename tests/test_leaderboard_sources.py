@@ -130,6 +130,32 @@ def test_listing_and_digests(spark, tmp_path):
         files.list_tier(spark, str(tmp_path / "p"), "bronze")
 
 
+def test_digests_of_files_longer_than_a_range(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    import pyarrow as pa
+
+    contents = {f"a {n}%é.bin": bytes(i * i % 251 for i in range(n)) for n in (63, 100, 101, 1000, 1037)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    made, rounds = files._next_range, []
+
+    def watched(start, size):
+        rounds.append((start, size))
+        return made(start, size)
+
+    monkeypatch.setattr(files, "RANGE", 100)
+    monkeypatch.setattr(files, "_next_range", watched)
+    rows = files.file_digests(spark, str(tmp_path), ".bin").collect()
+    assert {r["path"].rsplit("/", 1)[1]: (r["length"], r["digest"]) for r in rows} == {k: (len(c), hashlib.md5(c).hexdigest()) for k, c in contents.items()}
+    assert rounds == [(start, 100) for start in range(0, 1037 if files._openssl() else 1, 100)]
+
+    monkeypatch.setattr(files, "_openssl", lambda: None)  # the state of a sum cannot be had
+    row = {"path": f"file:{tmp_path}/a 1037%é.bin", "length": 1037, "state": None}
+    (out,) = made(0, 100)(iter([pa.RecordBatch.from_pylist([row])]))
+    assert out.to_pylist()[0]["digest"] == hashlib.md5(contents["a 1037%é.bin"]).hexdigest()
+
+
 def test_predictions_sink(spark, tmp_path):
     df = spark.createDataFrame([(5.0, 3.0, "test", "m")], "y_true double, y_pred double, split string, model string")
     tables.write_predictions(df, str(tmp_path / "pred"))
