@@ -31,7 +31,7 @@ from rhythmica.llm.common import slices, text_of
 
 #: Pieces of more bytes take the steps that contract all occurrences at once.
 LONG = 64
-#: Distinct words whose tokens a task remembers, and distinct pieces for one query.
+#: Distinct pieces whose tokens a task remembers, and distinct pieces for one query.
 REMEMBERED = 300_000
 AT_ONCE = 25_000
 #: Bytes of text that a task works on at a time (a longer text is worked on alone).
@@ -80,7 +80,7 @@ GLUED = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary
 
 
 class Codec:
-    """One task's DuckDB connection with the vocabulary and the merge table, and the words it has met."""
+    """One task's DuckDB connection with the vocabulary and the merge table, and the pieces it has met."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
@@ -88,7 +88,6 @@ class Codec:
         if any(bytes([i]) not in self.ranks for i in range(256)):
             raise ValueError("a byte-level vocabulary has all 256 bytes")
         self.pattern = regex.compile(pattern)
-        self.blank = regex.compile(r"\s\s")
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         rows = [
             (self.ranks[left] << 32 | self.ranks[right], rank << 32)
@@ -102,7 +101,7 @@ class Codec:
         self.con.execute(MERGES).fetchall()
         self.con.register("given", pa.table({"id": pa.array([i for i, _ in ids], pa.int64()), "s": [t.decode("latin-1") for _, t in ids]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given").fetchall()
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # words at a start, and after a blank
+        self.known: dict[str, bytes] = {}
 
     def _run(self, sql: str, pieces: list[bytes]):
         lengths = np.array([len(x) for x in pieces], np.int64)
@@ -130,34 +129,15 @@ class Codec:
                 out[i] = blob[offsets[k] : offsets[k + 1]]
         return out
 
-    def _learn(self, words: list[set[str]]) -> None:
-        """Cut new words into pieces, and merge the distinct pieces."""
-        for known in self.known:
-            if len(known) > REMEMBERED:
-                known.clear()
-        new = [(known, w, self.pattern.findall(lead + w)) for known, lead, met in zip(self.known, ("", " "), words, strict=True) for w in met if w not in known]
-        pieces = list({p for _, _, found in new for p in found})
-        ids = dict(zip(pieces, self.merge([p.encode() for p in pieces]), strict=True))
-        for known, word, found in new:
-            known[word] = ids[found[0]] if len(found) == 1 else b"".join([ids[p] for p in found])
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        """A single blank between words is always a cut of the pattern's pieces, so texts without two white
-        characters in a row are cut there first, and the pattern sees each distinct word once."""
-        split = [None if self.blank.search(t) else t.split(" ") for t in texts]
-        whole = [t for t, words in zip(texts, split, strict=True) if words is None]
-        first, later = set(), set()
-        for words in split:
-            if words is not None:
-                first.add(words[0])
-                later.update(words[1:])
-        self._learn([first, later])
-        found = [self.pattern.findall(t) for t in whole]
-        pieces = list({p for x in found for p in x})
-        ids = dict(zip(pieces, self.merge([p.encode() for p in pieces]), strict=True))
-        rest = iter(found)
-        start, after = self.known[0].__getitem__, self.known[1].__getitem__
-        return [b"".join(map(ids.__getitem__, next(rest))) if words is None else b"".join([start(words[0]), *map(after, words[1:])]) for words in split]
+        """The pattern cuts whole texts; a piece is merged when it is first met."""
+        found = [self.pattern.findall(t) for t in texts]
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = [p for p in set().union(*found) if p not in known]
+        known.update(zip(new, self.merge([p.encode() for p in new]), strict=True))
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in found]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         step = 4 * TOKENS_AT_ONCE

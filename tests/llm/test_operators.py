@@ -40,6 +40,16 @@ def test_bpe_decodes_a_text_in_several_queries(monkeypatch):
     assert own.decode([]) == [] and own.decode([b""]) == [b""]
 
 
+def test_bpe_merges_a_piece_once(monkeypatch):
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    merge, merged = own.merge, collections.Counter()
+    monkeypatch.setattr(own, "merge", lambda pieces: merged.update(pieces) or merge(pieces))
+    texts = ["of heatner. heatner, heatner", "of heatner; (heatner)", " heatner  heatner\nheatner", ""]
+    ids = [x for t in texts for x in own.encode([t])]
+    assert own.decode(ids) == [t.encode() for t in texts]
+    assert merged[b" heatner"] == 1 and set(merged.values()) == {1}
+
+
 def shingles(text):
     words = (text or "").encode().lower().split()
     return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) > 4 else collections.Counter([tuple(words)] if words else [])
