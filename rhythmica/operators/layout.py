@@ -140,14 +140,16 @@ def plan_layout(
     order_by: Sequence[str],
     reach: int = 0,
     weight: str | None = None,
+    most: int | None = None,
 ) -> Layout:
     """Count the series of ``df`` and cut the ones longer than a block.
 
-    ``weight`` names a count column: positions then count weights instead of rows.
+    ``weight`` names a count column: positions then count weights instead of rows. ``most`` asks for blocks of
+    fewer rows than the session's.
     """
     series, order_by = tuple(series), tuple(order_by)
     plain = Layout(series, order_by, reach=reach)
-    size = rows_per_block(df)
+    size = min(rows_per_block(df), most or ROWS_PER_BLOCK * MAX_BLOCKS)
 
     counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
     names = [F.col(c).alias(f"s{i}") for i, c in enumerate(series)]

@@ -3,7 +3,8 @@
     (sum of the earlier targets + weight * prior) / (number of earlier targets + weight)
 
 The sums are prefix sums inside blocks of a category plus one carried row per block of a long one, so a
-category that holds a third of all rows stays spread over tasks. New rows, later than all of
+category that holds a third of all rows stays spread over tasks. Blocks are short and the number of tasks grows with
+the rows, because what is learnt from the statistic keeps a task's rows together. New rows, later than all of
 training, take the sums of the whole training part.
 
 A null category is one of its own. Rows without a target (null or NaN) add nothing and still get their statistic; an
@@ -12,6 +13,7 @@ unknown category gets the prior. Rows of equal order keys would see each other i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -22,6 +24,9 @@ from rhythmica.operators.joins import join_per_group, join_same
 from rhythmica.operators.layout import BEFORE, BLOCK, TOTAL, Layout, plan_layout
 from rhythmica.session import settled
 
+#: Rows of a block. There are two tasks for as many rows, so that few blocks meet in one.
+ROWS = 250_000
+
 
 def _target(y: str) -> Column:
     value = F.col(y).cast("double")
@@ -33,23 +38,34 @@ def _smoothed(total: Column, n: Column, prior: float, weight: float) -> Column:
     return F.try_divide(total + F.lit(weight * prior), n + F.lit(float(weight)))
 
 
+def _dealt(spread: DataFrame, layout: Layout) -> DataFrame:
+    """Blocks over tasks. Tables with less than a block for each core are left to adaptive execution."""
+    blocks = math.ceil((layout.rows or 0) / ROWS)
+    if blocks <= spread.sparkSession.sparkContext.defaultParallelism:
+        return spread
+    return spread.repartition(2 * blocks, *layout.series, *([BLOCK] if layout.cuts is not None else []))
+
+
 def mean_target(df: DataFrame, y: str) -> float:
     """The prior: the mean target of a table, 0 without any."""
     return df.agg(F.avg(_target(y)).alias("m")).first()["m"] or 0.0
 
 
 def ordered_target_statistic(
-    df: DataFrame, category: str, y: str, order_by: Sequence[str], prior: float, weight: float = 1.0, name: str | None = None, layout: Layout | None = None
+    df: DataFrame, category: str, y: str, order_by: Sequence[str], prior: float, weight: float = 1.0, name: str | None = None, layout: Layout | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the statistic of ``category`` over the rows before each row."""
+    """Add the statistic of ``category`` over the rows before each row. ``source``: the same rows before columns
+    were added to them, where that is cheaper to count."""
     name = name or f"{category}_target"
-    layout = layout or plan_layout(df, [category], order_by)
-    spread = layout.spread(df).withColumn("_t", _target(y))
+    source = df if source is None else source
+    layout = layout or plan_layout(source, [category], order_by, most=ROWS)
+    spread = _dealt(layout.spread(df), layout).withColumn("_t", _target(y))
     past = layout.window().rowsBetween(Window.unboundedPreceding, -1)
     total, n = F.coalesce(F.sum("_t").over(past), F.lit(0.0)), F.count("_t").over(past)
     gone = [BLOCK, BEFORE, TOTAL, "_t"]
     if layout.cuts is not None:
-        per_block = spread.filter(F.col(TOTAL).isNotNull()).groupBy(category, BLOCK).agg(F.coalesce(F.sum("_t"), F.lit(0.0)).alias("_s"), F.count("_t").alias("_n"))
+        per_block = layout.spread(source).withColumn("_t", _target(y)).filter(F.col(TOTAL).isNotNull()).groupBy(category, BLOCK).agg(F.coalesce(F.sum("_t"), F.lit(0.0)).alias("_s"), F.count("_t").alias("_n"))
         earlier = Window.partitionBy(category).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
         carry = per_block.select(category, BLOCK, F.sum("_s").over(earlier).alias("_s"), F.sum("_n").over(earlier).alias("_n"))
         spread = join_same(spread, F.broadcast(carry), [category, BLOCK], "left")  # one row per block of a cut category
@@ -83,9 +99,10 @@ class OrderedTargetEncoder:
         return OrderedTargetEncoder(self.categories, self.target, self.order_by, self.weight, prior, tables)
 
     def encode_training(self, df: DataFrame) -> DataFrame:
+        out = df
         for c in self.categories:
-            df = ordered_target_statistic(df, c, self.target, self.order_by, self.prior, self.weight)
-        return df
+            out = ordered_target_statistic(out, c, self.target, self.order_by, self.prior, self.weight, source=df)
+        return out
 
     def encode(self, df: DataFrame) -> DataFrame:
         if not self.tables and self.categories:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rhythmica.forecast import trees
 from rhythmica.forecast.regression import LinearForecaster
@@ -42,6 +43,20 @@ def test_statistics_of_a_hot_category_equal_a_plain_loop(spark, small_blocks, we
         assert got[i] == pytest.approx(v, rel=1e-12) if v is not None else got[i] is None
 
 
+def test_no_task_gathers_a_whole_category(spark, monkeypatch):
+    from rhythmica.operators import target_stats
+
+    monkeypatch.setattr(target_stats, "ROWS", 40)
+    rows = table(4000)
+    df = spark.createDataFrame(rows, "t int, id int, kind string, y double, n int").repartition(5)
+    encoder = OrderedTargetEncoder(["n", "kind"], "y", ORDER, weight=2.5, prior=7.0)
+    out = encoder.encode_training(df)
+    got, want = {r.id: r.kind_target for r in out.collect()}, plain(rows, 7.0, 2.5)[0]
+    assert len(got) == len(rows) and all(got[i] == pytest.approx(v, rel=1e-12) for i, v in want.items())
+    most = max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+    assert most < 800  # of 4,000, of which the largest category has 2,600
+
+
 def test_later_rows_see_all_of_training_and_unknown_categories_the_prior(spark, small_blocks):
     rows = table()
     df = spark.createDataFrame(rows, "t int, id int, kind string, y double, n int")
