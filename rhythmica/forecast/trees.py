@@ -9,16 +9,22 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rhythmica.functions import metrics as M
 from rhythmica.functions.calendar import literal
 from rhythmica.operators.layout import keys_at
-from rhythmica.operators.target_stats import OrderedTargetEncoder
+from rhythmica.operators.target_stats import OrderedTargetEncoder, is_large
+from rhythmica.session import settled
+
+#: Square root of the rows from which Spark's trees learn the distinct bins of a feature.
+BINS_SEEN = 1024
 
 
 @dataclass
@@ -36,11 +42,51 @@ class TreeForecaster:
         known = df.where(complete(self.features) & complete([self.target]))
         return TreeForecaster(self.features, self.target, self.learner, Pipeline(stages=[assembler, self.learner]).fit(known))
 
+    def fit_groups(self, df: DataFrame) -> TreeForecaster:
+        """The same trees from one row per group of rows that share all their bins, which no split can part: its number of
+        rows and its mean target. What targets differ by inside a group is the same on both sides of any comparison of
+        splits. For large tables that are cheap to read more than once; learners that look at single rows are fitted by ``fit``."""
+        if not self._groups(df):
+            return self.fit(df)
+        names, most = _bins(self.features), self.learner.getMaxBins()
+        known = df.where(complete(self.features) & complete([self.target]))
+        rows = known.count()
+        share = min(1.0, max(most * most, 10_000) / max(rows, 1))  # as many as Spark's trees take for their thresholds
+        seen = known.select(*[F.col(c).cast("double") for c in self.features]).sample(share, self.learner.getSeed()).toPandas()
+        edges = [thresholds(seen[c].to_numpy(), most) for c in self.features]
+        # a threshold belongs to the bin below it in trees, to the one above it here
+        splits = [[-math.inf, *np.nextafter(e, math.inf).tolist(), math.inf] for e in edges]
+        bins = Bucketizer(splitsArray=splits, inputCols=list(self.features), outputCols=names, handleInvalid="keep")
+        bits = max(1, math.ceil(math.log2(max(len(e) for e in splits))))
+        words = [names[i : i + 62 // bits] for i in range(0, len(names), 62 // bits)]
+        packed = [sum((F.shiftleft(F.col(c).cast("bigint"), bits * k) for k, c in enumerate(w)), F.lit(0).cast("bigint")).alias(f"_w{i}") for i, w in enumerate(words)]
+        keys = [f"_w{i}" for i in range(len(words))]
+        sums = bins.transform(known).select(*packed, F.col(self.target).cast("double").alias("_y")).groupBy(*keys).agg(F.count("_y").cast("double").alias("_n"), F.avg("_y").alias(self.target))
+        plain = [F.shiftright(f"_w{i}", bits * k).bitwiseAND((1 << bits) - 1).cast("double").alias(c) for i, w in enumerate(words) for k, c in enumerate(w)]
+        groups = settled(sums.select(*plain, "_n", self.target), "groups")
+        assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+        learner = self.learner.copy({self.learner.weightCol: "_n", self.learner.maxBins: max(BINS_SEEN, most)})
+        return TreeForecaster(self.features, self.target, self.learner, PipelineModel([bins, assembler, learner.fit(assembler.transform(groups))]))
+
+    def _groups(self, df: DataFrame) -> bool:
+        """Whether the learner needs no more of the rows than sums: squares, all rows, leaves of any size."""
+        learner = self.learner
+        return (
+            isinstance(learner, GBTRegressor)
+            and learner.getLossType() == "squared"
+            and learner.getSubsamplingRate() == 1.0
+            and learner.getMinInstancesPerNode() == 1
+            and not learner.isSet(learner.validationIndicatorCol)
+            and not learner.isSet(learner.weightCol)
+            and len(self.features) > 0
+            and all(isinstance(df.schema[c].dataType, T.NumericType) for c in self.features)
+        )
+
     def predict(self, df: DataFrame) -> DataFrame:
         """All rows; those with a missing feature get a null prediction."""
         if self.model is None:
             raise ValueError("fit the model first")
-        scored = self.model.transform(df).drop("features")
+        scored = self.model.transform(df).drop("features", *_bins(self.features))
         return scored.withColumn("prediction", F.when(complete(self.features), F.col("prediction")))
 
     def importance(self, spark: SparkSession) -> DataFrame:
@@ -51,6 +97,28 @@ class TreeForecaster:
         self.model.write().overwrite().save(path)
 
 
+def _bins(features: Sequence[str]) -> list[str]:
+    return [f"_bin_{c}" for c in features]
+
+
+def thresholds(values: np.ndarray, bins: int) -> np.ndarray:
+    """Where Spark's trees part the values of a feature: half-way between neighbours, all of them or those next to equal shares."""
+    found, counts = np.unique(values[np.isfinite(values)], return_counts=True)
+    if len(found) < 2:
+        return found if len(found) else np.zeros(1)
+    middle = found[:-1] / 2 + found[1:] / 2
+    if len(found) <= bins:
+        return middle
+    stride, out = counts.sum() / bins, []
+    goal, seen = stride, counts[0]
+    for i in range(1, len(found)):
+        before, seen = seen, seen + counts[i]
+        if abs(before - goal) < abs(seen - goal):
+            out.append(middle[i - 1])
+            goal += stride
+    return np.array(out)
+
+
 def complete(columns: Sequence[str]) -> Column:
     """Whether no column is null or NaN."""
     out = F.lit(True)
@@ -98,7 +166,11 @@ class CategoricalForecaster:
 
     def fit(self, df: DataFrame) -> CategoricalForecaster:
         encoder = self.encoder.fit(df)
-        return CategoricalForecaster(self.learner.fit(encoder.encode_training(df)), encoder)
+        if not is_large(df, df.count()):
+            return CategoricalForecaster(self.learner.fit(encoder.encode_training(df)), encoder)
+        used = dict.fromkeys(c for c in [*self.learner.features, self.learner.target] if c not in encoder.names)
+        encoded = settled(encoder.encode_training(df, list(used)), "encoded")
+        return CategoricalForecaster(self.learner.fit_groups(encoded), encoder)
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.learner.predict(self.encoder.encode(df)).drop(*self.encoder.names)

@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 from rhythmica.operators.layout import MAX_BLOCKS, rows_per_block
 
 
-def join_per_group(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join of ``df`` with a table that has at most one row per key.
+def join_per_group(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """Equi-join of ``df`` with a table that has at most one row per key. ``counted``: the same rows before columns were
+    added to them, where that is cheaper to count.
 
     The groups of ``df`` are counted first. Rows of groups longer than a block stay where they are and
     meet the broadcast rows of just those groups (at most ``MAX_BLOCKS`` of them); all other rows take
     the ordinary join, whose shuffle then has no large group.
     """
     keys = list(keys)
-    n_groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n_groups = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     size = rows_per_block(df)
     long_one = F.when(F.col("_n") > size, F.struct("_n", *keys))
     found = n_groups.agg(F.sum("_n").alias("rows"), F.collect_list(long_one).alias("long")).first()  # at most rows / size entries

@@ -7,6 +7,10 @@ category that holds a third of all rows stays spread over tasks. Blocks are shor
 the rows, because what is learnt from the statistic keeps a task's rows together. New rows, later than all of
 training, take the sums of the whole training part.
 
+Several columns of a large table are encoded together: its rows are put in order once, over tasks, and each task runs
+through them with the sums of the long categories of all columns, to which those of earlier tasks are added. Only the
+short categories of a column still need its rows side by side.
+
 A null category is one of its own. Rows without a target (null or NaN) add nothing and still get their statistic; an
 unknown category gets the prior. Rows of equal order keys would see each other in any order: let ``order_by`` end in a unique tiebreak.
 """
@@ -14,11 +18,15 @@ unknown category gets the prior. Rows of equal order keys would see each other i
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rhythmica.operators.joins import join_per_group, join_same
 from rhythmica.operators.layout import BEFORE, BLOCK, TOTAL, Layout, plan_layout
@@ -26,6 +34,12 @@ from rhythmica.session import settled
 
 #: Rows of a block. There are two tasks for as many rows, so that few blocks meet in one.
 ROWS = 250_000
+#: Most tasks, and most long categories of a column, that carry sums to each other; a task's length is not bounded.
+CARRIES = 1000
+#: Rows that a task of ordered rows sums at a time.
+CHUNK = 65_536
+#: A place in the order is the number of a task and, in as many low bits, the row in it.
+PLACE_BITS = 40
 
 
 def _target(y: str) -> Column:
@@ -40,10 +54,15 @@ def _smoothed(total: Column, n: Column, prior: float, weight: float) -> Column:
 
 def _dealt(spread: DataFrame, layout: Layout) -> DataFrame:
     """Blocks over tasks. Tables with less than a block for each core are left to adaptive execution."""
-    blocks = math.ceil((layout.rows or 0) / ROWS)
-    if blocks <= spread.sparkSession.sparkContext.defaultParallelism:
+    rows = layout.rows or 0
+    if not is_large(spread, rows):
         return spread
-    return spread.repartition(2 * blocks, *layout.series, *([BLOCK] if layout.cuts is not None else []))
+    return spread.repartition(2 * math.ceil(rows / ROWS), *layout.series, *([BLOCK] if layout.cuts is not None else []))
+
+
+def is_large(df: DataFrame, rows: int) -> bool:
+    """Whether there is more than a block for each core."""
+    return math.ceil(rows / ROWS) > df.sparkSession.sparkContext.defaultParallelism
 
 
 def mean_target(df: DataFrame, y: str) -> float:
@@ -74,6 +93,101 @@ def ordered_target_statistic(
     return spread.withColumn(name, _smoothed(total, n, prior, weight)).drop(*gone)
 
 
+def _chunks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= size:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _earlier(codes: np.ndarray, values: np.ndarray, known: np.ndarray, total: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and number of the known values of the same code before each row, one after the other; ``total`` and ``count``
+    start them and are moved on. Codes beyond them are left out."""
+    s, n = np.zeros(len(codes)), np.zeros(len(codes), np.int64)
+    order = np.argsort(codes, kind="stable")
+    ends = np.searchsorted(codes[order], np.arange(len(total) + 1))
+    for c in np.flatnonzero(np.diff(ends)):
+        rows = order[ends[c] : ends[c + 1]]
+        run, seen = np.cumsum(np.concatenate((total[c : c + 1], values[rows]))), np.cumsum(np.concatenate((count[c : c + 1], known[rows])))
+        s[rows], total[c], n[rows], count[c] = run[:-1], run[-1], seen[:-1], seen[-1]
+    return s, n
+
+
+def _summed_in_order(df: DataFrame, columns: Sequence[str], y: str, codes: dict[str, int], order_by: Sequence[str], parts: int) -> DataFrame:
+    """``columns`` with the place ``_at`` in the order, of which the high bits are a stretch of rows, and for each column
+    of codes (below the number given) the sum ``_s`` and the number ``_n`` of the known targets of the same code that are
+    earlier in the stretch."""
+    added = [T.StructField("_at", T.LongType())]
+    for c in codes:
+        added += [T.StructField(f"_s{c}", T.DoubleType()), T.StructField(f"_n{c}", T.LongType())]
+    dealt = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).select(*columns)
+    schema, size = T.StructType([*dealt.schema.fields, *added]), CHUNK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << PLACE_BITS
+        totals = {c: (np.zeros(k), np.zeros(k, np.int64)) for c, k in codes.items()}
+        for table in _chunks(batches, size):
+            known = table[y].is_valid().to_numpy().astype(np.int64)
+            values = table[y].fill_null(0.0).to_numpy()
+            out = table.append_column("_at", pa.array(np.arange(at, at + len(known))))
+            at += len(known)
+            for c, k in codes.items():
+                code = table[c].fill_null(k).to_numpy().astype(np.int16)
+                s, n = _earlier(code, values, known, *totals[c])
+                out = out.append_column(f"_s{c}", pa.array(s)).append_column(f"_n{c}", pa.array(n))
+            yield from out.to_batches()
+
+    return settled(dealt.mapInArrow(run, schema), "ordered")
+
+
+def _encoded_together(df: DataFrame, categories: Sequence[str], y: str, order_by: Sequence[str], prior: float, weight: float, rows: int, keep: Sequence[str]) -> DataFrame:
+    """The statistics of several columns of a large table beside the columns in ``keep``. Long categories are summed in
+    order, the others are brought together by category."""
+    blocks, most = math.ceil(rows / ROWS), math.ceil(rows / CARRIES)
+    codes, short, order = {}, [], list(order_by)
+    out = df.withColumn("_t", _target(y))
+    for i, c in enumerate(categories):
+        long = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).collect()  # fewer than CARRIES
+        if sum(r["_n"] for r in long) < rows:
+            short.append(c)
+        if long:
+            codes[f"_h{i}"] = len(long)
+            table = df.sparkSession.createDataFrame([(r[0], k) for k, r in enumerate(long)], T.StructType([df.schema[c], T.StructField(f"_h{i}", T.IntegerType())]))
+            out = join_same(out, F.broadcast(table), [c], "left")
+    if codes:
+        out = _summed_in_order(out, [*dict.fromkeys([*keep, *short]), "_t", *codes], "_t", codes, order_by, min(blocks, CARRIES))
+        out = out.withColumn("_part", F.shiftright("_at", PLACE_BITS))
+        order = ["_at"]
+    stored, names = out, {c: f"{c}_target" for c in categories}
+    for i, c in enumerate(categories):
+        h = f"_h{i}"
+        if h in codes:
+            sums = stored.where(F.col(h).isNotNull()).groupBy(h, "_part").agg(F.coalesce(F.sum("_t"), F.lit(0.0)).alias("_s"), F.count("_t").alias("_n"))
+            before = Window.partitionBy(h).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+            carry = sums.select(h, "_part", F.sum("_s").over(before).alias("_s"), F.sum("_n").over(before).alias("_n"))
+            out = join_same(out, F.broadcast(carry), [h, "_part"], "left")  # at most one row per stretch and long category
+            total, count = F.col(f"_s{h}") + F.coalesce("_s", F.lit(0.0)), F.col(f"_n{h}") + F.coalesce("_n", F.lit(0))
+            out = out.withColumn(names[c], _smoothed(total, count, prior, weight)).drop("_s", "_n")
+    if not short:  # as many tasks as otherwise
+        out = out.repartition(2 * blocks, *order)
+    for i, c in enumerate(categories):
+        h, side = f"_h{i}", [c]
+        if c in short:
+            if h in codes:  # rows that have their statistic stay spread
+                out = out.withColumn("_side", F.when(F.col(h).isNotNull(), F.col("_part") + 1).otherwise(0))
+                side.append("_side")
+            past = Window.partitionBy(*side).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+            found = _smoothed(F.coalesce(F.sum("_t").over(past), F.lit(0.0)), F.count("_t").over(past), prior, weight)
+            out = out.repartition(2 * blocks, *side).withColumn("_found", found)
+            out = out.withColumn(names[c], F.when(F.col(h).isNull(), F.col("_found")).otherwise(F.col(names[c])) if h in codes else F.col("_found")).drop("_side", "_found")
+    return out.select(*keep, *names.values())
+
+
 @dataclass
 class OrderedTargetEncoder:
     """Statistics for several category columns; ``fit`` on the training part, which ``encode_training`` encodes row by row
@@ -98,15 +212,20 @@ class OrderedTargetEncoder:
             tables[c] = settled(sums.select(c, value.alias(f"{c}_target")), "categories")
         return OrderedTargetEncoder(self.categories, self.target, self.order_by, self.weight, prior, tables)
 
-    def encode_training(self, df: DataFrame) -> DataFrame:
+    def encode_training(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+        """``keep``: the columns of ``df`` that are wanted beside the statistics, all by default."""
+        keep, rows = df.columns if keep is None else list(keep), df.count()
+        if is_large(df, rows):
+            return _encoded_together(df, self.categories, self.target, self.order_by, self.prior, self.weight, rows, keep)
         out = df
         for c in self.categories:
             out = ordered_target_statistic(out, c, self.target, self.order_by, self.prior, self.weight, source=df)
-        return out
+        return out.select(*keep, *self.names)
 
     def encode(self, df: DataFrame) -> DataFrame:
         if not self.tables and self.categories:
             raise ValueError("fit the encoder first")
+        out = df
         for c, table in self.tables.items():
-            df = join_per_group(df, table, [c], "left").fillna(self.prior, [f"{c}_target"])
-        return df
+            out = join_per_group(out, table, [c], "left", counted=df).fillna(self.prior, [f"{c}_target"])
+        return out

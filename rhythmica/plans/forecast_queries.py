@@ -421,8 +421,9 @@ def _(spark, sf):
 @query("categorical_boosting_lineitem")
 def _(spark, sf):
     brands = load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
-    df = settled(_value_features(spark, sf).join(brands, "l_partkey"), "trees")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+    used = [*order, "l_quantity", "l_discount", "l_extendedprice", "p_brand", "p_type", "is_validation"]
+    df = settled(_value_features(spark, sf).join(brands, "l_partkey").select(*used), "trees")
     model = trees.categorical_boosted_trees(["l_quantity", "l_discount"], ["l_partkey", "p_brand", "p_type"], "l_extendedprice", order, weight=5.0, rounds=8, depth=4)
     scored = model.fit(df.filter("not is_validation")).predict(df.filter("is_validation"))
     return scored.agg(F.count(F.lit(1)).alias("n"), M.r2("l_extendedprice", "prediction").alias("r2"), M.mae("l_extendedprice", "prediction").alias("mae"))

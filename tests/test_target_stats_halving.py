@@ -57,6 +57,92 @@ def test_no_task_gathers_a_whole_category(spark, monkeypatch):
     assert most < 800  # of 4,000, of which the largest category has 2,600
 
 
+@pytest.fixture
+def large(monkeypatch):
+    """More than 40 rows for each core are many, more than a tenth of them are a long category."""
+    from rhythmica.operators import target_stats
+
+    for name, value in (("ROWS", 40), ("CARRIES", 10), ("CHUNK", 32)):
+        monkeypatch.setattr(target_stats, name, value)
+
+
+def test_columns_of_a_large_table_are_encoded_together(spark, large):
+    """Long and short categories in one column, only long ones, only short ones; some order keys are null."""
+    rows = [(None if i < 5 else t, i, k, v, i % 3) for t, i, k, v, _ in table(3000)]
+    df = spark.createDataFrame([(*r, f"s{r[1] % 700}") for r in rows], "t int, id int, kind string, y double, n int, s string").repartition(5)
+    first = [(-1 if r[0] is None else r[0], *r[1:]) for r in rows]
+    want = {}
+    for c, at in (("kind", lambda r: r[2]), ("n", lambda r: r[4]), ("s", lambda r: f"s{r[1] % 700}")):
+        want[c] = plain([(r[0], r[1], at(r), r[3], 0) for r in first], 7.0, 2.5)[0]
+    for columns in (["kind", "n", "s"], ["n"], ["s"]):
+        out = OrderedTargetEncoder(columns, "y", ORDER, weight=2.5, prior=7.0).encode_training(df)
+        assert out.columns == [*df.columns, *[f"{c}_target" for c in columns]]
+        got = {r.id: r for r in out.collect()}
+        assert len(got) == len(rows) == out.count()
+        assert all(got[i][f"{c}_target"] == pytest.approx(v, rel=1e-12) for c in columns for i, v in want[c].items())
+        assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) < 600
+    few = OrderedTargetEncoder(["kind"], "y", ORDER, weight=2.5, prior=7.0).encode_training(df, ["id"])
+    assert few.columns == ["id", "kind_target"] and {r.id: r.kind_target for r in few.collect()} == pytest.approx(want["kind"], rel=1e-12)
+
+
+def test_an_ordered_sum_goes_on_from_chunk_to_chunk():
+    from rhythmica.operators.target_stats import _earlier
+
+    rng = np.random.default_rng(2)
+    codes, values, known = rng.integers(0, 4, 500).astype(np.int16), rng.normal(size=500), rng.integers(0, 2, 500)
+    total, count, sums, numbers = np.zeros(3), np.zeros(3, np.int64), [], []
+    for a, b in ((0, 200), (200, 201), (201, 500)):
+        s, n = _earlier(codes[a:b], values[a:b], known[a:b], total, count)
+        sums, numbers = [*sums, *s], [*numbers, *n]
+    for i, c in enumerate(codes):
+        past = [j for j in range(i) if codes[j] == c] if c < 3 else []
+        assert sums[i] == pytest.approx(values[past].sum()) and numbers[i] == known[past].sum()
+
+
+def rows_of_features(n=6000):
+    rng = np.random.default_rng(8)
+    a, b, c = rng.integers(-6, 7, n), rng.gamma(2.0, 3.0, n), rng.normal(size=n)
+    y = np.where(a > 1, 5.0, 0.0) + np.where(b > 4, 3.0, -1.0) * np.sign(c) + rng.normal(0, 0.5, n)
+    rows = [(int(a[i]), float(b[i]) if i % 97 else None, float(c[i]) if i % 89 else float("nan"), float(y[i]) if i % 83 else None, 1.5, i) for i in range(n)]
+    return rows, "a int, b double, c double, y double, one double, i int"
+
+
+def test_trees_from_groups_are_the_trees_from_rows(spark, tmp_path):
+    df = spark.createDataFrame(*rows_of_features()).cache()
+    plain_trees = trees.boosted_trees(["a", "b", "c", "one"], "y", rounds=6, depth=4)
+    rows, groups = plain_trees.fit(df), plain_trees.fit_groups(df)
+    assert [t.numNodes for t in groups.model.stages[-1].trees] == [t.numNodes for t in rows.model.stages[-1].trees]
+    assert groups.predict(df).columns == rows.predict(df).columns
+    got, want = ({r.i: r.prediction for r in m.predict(df).collect()} for m in (groups, rows))
+    assert len(got) == 6000 and sum(v is None for v in got.values()) == sum(v is None for v in want.values()) > 100
+    assert all(got[i] == pytest.approx(v, rel=1e-9) if v is not None else got[i] is None for i, v in want.items())
+    weights = {r.feature: r.importance for r in rows.importance(spark).collect()}
+    assert {r.feature: r.importance for r in groups.importance(spark).collect()} == pytest.approx(weights, rel=1e-9)
+    groups.save(str(tmp_path / "model"))
+    again = trees.TreeForecaster(rows.features, "y", None, trees.load_model(str(tmp_path / "model")))
+    assert {r.i: r.prediction for r in again.predict(df).collect()} == got
+
+
+@pytest.mark.parametrize("settings", [{"subsample": 0.5}, {"validation": "held"}])
+def test_learners_that_look_at_single_rows_get_them(spark, settings):
+    df = spark.createDataFrame(*rows_of_features(600)).withColumn("held", F.col("i") % 5 == 0)
+    learner = trees.boosted_trees(["a", "b"], "y", rounds=3, depth=2, **settings)
+    got, want = ([r.prediction for r in m.predict(df).orderBy("i").collect()] for m in (learner.fit_groups(df), learner.fit(df)))
+    assert got == want
+
+
+def test_boosting_of_a_large_table_passes_over_groups(spark, large, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(k), float(k * 10 + rng.normal()), float(x)) for i, (k, x) in enumerate(zip(rng.integers(0, 3, 3000), rng.integers(0, 2, 3000), strict=True))]
+    df, seen = spark.createDataFrame(rows, "t int, kind int, y double, x double"), []
+    fit = trees.GBTRegressor.fit
+    monkeypatch.setattr(trees.GBTRegressor, "fit", lambda self, data, *a: (seen.append(data), fit(self, data, *a))[1])
+    model = trees.categorical_boosted_trees(["x"], ["kind"], "y", ["t"], rounds=10, depth=3).fit(df)
+    assert seen[0].count() <= 2 * 32 and seen[0].agg(F.sum("_n")).first()[0] == 3000  # every row counts
+    errors = np.array([r.y - r.prediction for r in model.predict(df).collect()])
+    assert len(errors) == 3000 and (errors**2).mean() < 4
+
+
 def test_later_rows_see_all_of_training_and_unknown_categories_the_prior(spark, small_blocks):
     rows = table()
     df = spark.createDataFrame(rows, "t int, id int, kind string, y double, n int")
