@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from rhythmica.functions import metrics as M
 from rhythmica.functions.calendar import literal
 from rhythmica.operators.layout import keys_at
-from rhythmica.operators.target_stats import OrderedTargetEncoder, is_large
+from rhythmica.operators.target_stats import OrderedTargetEncoder, dealt, is_large
 from rhythmica.session import settled
 
 #: Square root of the rows from which Spark's trees learn the distinct bins of a feature.
@@ -64,6 +64,7 @@ class TreeForecaster:
         sums = bins.transform(known).select(*packed, F.col(self.target).cast("double").alias("_y")).groupBy(*keys).agg(F.count("_y").cast("double").alias("_n"), F.avg("_y").alias(self.target))
         plain = [F.shiftright(f"_w{i}", bits * k).bitwiseAND((1 << bits) - 1).cast("double").alias(c) for i, w in enumerate(words) for k, c in enumerate(w)]
         groups = settled(sums.select(*plain, "_n", self.target), "groups")
+        groups = dealt(groups, groups.count(), *names)  # a task's groups are kept through all rounds
         assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
         learner = self.learner.copy({self.learner.weightCol: "_n", self.learner.maxBins: max(BINS_SEEN, most)})
         return TreeForecaster(self.features, self.target, self.learner, PipelineModel([bins, assembler, learner.fit(assembler.transform(groups))]))

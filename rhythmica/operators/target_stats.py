@@ -52,12 +52,9 @@ def _smoothed(total: Column, n: Column, prior: float, weight: float) -> Column:
     return F.try_divide(total + F.lit(weight * prior), n + F.lit(float(weight)))
 
 
-def _dealt(spread: DataFrame, layout: Layout) -> DataFrame:
-    """Blocks over tasks. Tables with less than a block for each core are left to adaptive execution."""
-    rows = layout.rows or 0
-    if not is_large(spread, rows):
-        return spread
-    return spread.repartition(2 * math.ceil(rows / ROWS), *layout.series, *([BLOCK] if layout.cuts is not None else []))
+def dealt(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """Rows over tasks that grow in number with them. Tables with less than a block for each core are left to adaptive execution."""
+    return df.repartition(2 * math.ceil(rows / ROWS), *by) if is_large(df, rows) else df
 
 
 def is_large(df: DataFrame, rows: int) -> bool:
@@ -79,7 +76,7 @@ def ordered_target_statistic(
     name = name or f"{category}_target"
     source = df if source is None else source
     layout = layout or plan_layout(source, [category], order_by, most=ROWS)
-    spread = _dealt(layout.spread(df), layout).withColumn("_t", _target(y))
+    spread = dealt(layout.spread(df), layout.rows or 0, category, *([BLOCK] if layout.cuts is not None else [])).withColumn("_t", _target(y))
     past = layout.window().rowsBetween(Window.unboundedPreceding, -1)
     total, n = F.coalesce(F.sum("_t").over(past), F.lit(0.0)), F.count("_t").over(past)
     gone = [BLOCK, BEFORE, TOTAL, "_t"]
@@ -125,8 +122,8 @@ def _summed_in_order(df: DataFrame, columns: Sequence[str], y: str, codes: dict[
     added = [T.StructField("_at", T.LongType())]
     for c in codes:
         added += [T.StructField(f"_s{c}", T.DoubleType()), T.StructField(f"_n{c}", T.LongType())]
-    dealt = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).select(*columns)
-    schema, size = T.StructType([*dealt.schema.fields, *added]), CHUNK
+    ordered = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).select(*columns)
+    schema, size = T.StructType([*ordered.schema.fields, *added]), CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << PLACE_BITS
@@ -142,14 +139,13 @@ def _summed_in_order(df: DataFrame, columns: Sequence[str], y: str, codes: dict[
                 out = out.append_column(f"_s{c}", pa.array(s)).append_column(f"_n{c}", pa.array(n))
             yield from out.to_batches()
 
-    return settled(dealt.mapInArrow(run, schema), "ordered")
+    return settled(ordered.mapInArrow(run, schema), "ordered")
 
 
 def _encoded_together(df: DataFrame, categories: Sequence[str], y: str, order_by: Sequence[str], prior: float, weight: float, rows: int, keep: Sequence[str]) -> DataFrame:
     """The statistics of several columns of a large table beside the columns in ``keep``. Long categories are summed in
     order, the others are brought together by category."""
-    blocks, most = math.ceil(rows / ROWS), math.ceil(rows / CARRIES)
-    codes, short, order = {}, [], list(order_by)
+    most, codes, short, order = math.ceil(rows / CARRIES), {}, [], list(order_by)
     out = df.withColumn("_t", _target(y))
     for i, c in enumerate(categories):
         long = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).collect()  # fewer than CARRIES
@@ -160,7 +156,7 @@ def _encoded_together(df: DataFrame, categories: Sequence[str], y: str, order_by
             table = df.sparkSession.createDataFrame([(r[0], k) for k, r in enumerate(long)], T.StructType([df.schema[c], T.StructField(f"_h{i}", T.IntegerType())]))
             out = join_same(out, F.broadcast(table), [c], "left")
     if codes:
-        out = _summed_in_order(out, [*dict.fromkeys([*keep, *short]), "_t", *codes], "_t", codes, order_by, min(blocks, CARRIES))
+        out = _summed_in_order(out, [*dict.fromkeys([*keep, *short]), "_t", *codes], "_t", codes, order_by, min(math.ceil(rows / ROWS), CARRIES))
         out = out.withColumn("_part", F.shiftright("_at", PLACE_BITS))
         order = ["_at"]
     stored, names = out, {c: f"{c}_target" for c in categories}
@@ -174,7 +170,7 @@ def _encoded_together(df: DataFrame, categories: Sequence[str], y: str, order_by
             total, count = F.col(f"_s{h}") + F.coalesce("_s", F.lit(0.0)), F.col(f"_n{h}") + F.coalesce("_n", F.lit(0))
             out = out.withColumn(names[c], _smoothed(total, count, prior, weight)).drop("_s", "_n")
     if not short:  # as many tasks as otherwise
-        out = out.repartition(2 * blocks, *order)
+        out = dealt(out, rows, *order)
     for i, c in enumerate(categories):
         h, side = f"_h{i}", [c]
         if c in short:
@@ -183,7 +179,7 @@ def _encoded_together(df: DataFrame, categories: Sequence[str], y: str, order_by
                 side.append("_side")
             past = Window.partitionBy(*side).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
             found = _smoothed(F.coalesce(F.sum("_t").over(past), F.lit(0.0)), F.count("_t").over(past), prior, weight)
-            out = out.repartition(2 * blocks, *side).withColumn("_found", found)
+            out = dealt(out, rows, *side).withColumn("_found", found)
             out = out.withColumn(names[c], F.when(F.col(h).isNull(), F.col("_found")).otherwise(F.col(names[c])) if h in codes else F.col("_found")).drop("_side", "_found")
     return out.select(*keep, *names.values())
 

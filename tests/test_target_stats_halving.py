@@ -107,7 +107,7 @@ def rows_of_features(n=6000):
     return rows, "a int, b double, c double, y double, one double, i int"
 
 
-def test_trees_from_groups_are_the_trees_from_rows(spark, tmp_path):
+def test_trees_from_groups_are_the_trees_from_rows(spark, large, tmp_path):
     df = spark.createDataFrame(*rows_of_features()).cache()
     plain_trees = trees.boosted_trees(["a", "b", "c", "one"], "y", rounds=6, depth=4)
     rows, groups = plain_trees.fit(df), plain_trees.fit_groups(df)
