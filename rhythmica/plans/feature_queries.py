@@ -408,9 +408,10 @@ def _(spark, sf):
     customers = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     nations = load(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     parts = load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    out = cleaning.lookup(lines, orders, "l_orderkey")
-    out = cleaning.lookup(out, cleaning.lookup(customers, nations, "c_nationkey"), "o_custkey")
-    out = cleaning.lookup(out, parts, "l_partkey")
+    # customers meet the orders, which are fewer than the lines; the lines move while they have few columns
+    placed = cleaning.lookup(orders, customers, "o_custkey")
+    out = cleaning.lookup(cleaning.lookup(lines, parts, "l_partkey"), placed, "l_orderkey")
+    out = cleaning.lookup(out, nations, "c_nationkey")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "o_orderdate", "n_name", "p_brand", "l_extendedprice")
 
 
