successive_halving_lineitem: linear trials of a rung share their passes

Symptom: The query read its stored input 22 times, 13.82 million rows for 0.6 million lines; at 60 times sf0.1 901.2 million rows in 63 jobs.
Evidence: Each of the 10 trials of the three rungs had one scan for its sums and one for its score, though the trials of a rung read the same window and the same validation rows. Event log of local-cluster[3,2], 12 partitions, one run each.
Fix: The sums of a rung's linear trials come from one aggregate over the window and their scores from one over the validation rows; fit, predict and solving stay per trial. A pass takes 30 sums at most: 30 cost 14 ns a sum and row, 36 cost 38, because code that long is not compiled. If a shared pass fails, its trials run one by one as before, so a faulty one fails by itself; other learners run as before. The last window's start, which is never used, is no longer looked up.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 436 -> 329 s, shuffle 0.14 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 7.46 -> 4.09 GB, longest task 9 -> 8 s, most memory of a task 235 -> 235 MB; at 6 GB of input CPU 2323 -> 1543 s, shuffle 8.23 -> 8.20 GB, spill 0.00 -> 0.00 GB, read 40.80 -> 20.38 GB, longest task 24 -> 24 s, most memory of a task 203 -> 203 MB; with hot keys, at 1 GB of input CPU 429 -> 336 s, shuffle 0.13 -> 0.08 GB, spill 0.00 -> 0.00 GB, read 7.33 -> 3.97 GB, longest task 9 -> 9 s, most memory of a task 235 -> 201 MB.

@@ -24,16 +24,16 @@ FIT_FIELDS = [
 ]
 
 
-def moment_columns(y: str, xs: Sequence[str]) -> list[Column]:
+def moment_columns(y: str, xs: Sequence[str], prefix: str = "") -> list[Column]:
     """Count, means and population covariances of the rows where nothing is missing."""
     names = [*xs, y]
     whole = F.lit(True)
     for c in names:
         whole = whole & F.col(c).isNotNull()
     cells = [F.when(whole, F.col(c).cast("double")) for c in names]
-    out = [F.count_if(whole).alias("_n")]
-    out += [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cells)]
-    out += [F.covar_pop(cells[i], cells[j]).alias(f"_c{i}_{j}") for i in range(len(names)) for j in range(i + 1)]
+    out = [F.count_if(whole).alias(f"{prefix}_n")]
+    out += [F.avg(c).alias(f"{prefix}_m{i}") for i, c in enumerate(cells)]
+    out += [F.covar_pop(cells[i], cells[j]).alias(f"{prefix}_c{i}_{j}") for i in range(len(names)) for j in range(i + 1)]
     return out
 
 
@@ -88,9 +88,19 @@ def fit_linear(
     return moments.mapInPandas(run, T.StructType(kept + FIT_FIELDS))
 
 
-def fit_one(df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.0, intercept: bool = True) -> tuple[list[float], float]:
-    """Coefficients and intercept for the whole table: one aggregate row, solved on the spot."""
-    moments = df.agg(*moment_columns(y, xs)).toPandas()  # one row
+def moments_of(df: DataFrame, regressions: Sequence[tuple[str, Sequence[str]]]) -> list[pd.DataFrame]:
+    """The moments of several regressions, each a target and its regressors, from one pass over the whole table: one row each."""
+    found = df.agg(*[c for i, (y, xs) in enumerate(regressions) for c in moment_columns(y, xs, f"_r{i}")]).toPandas()  # one row
+    return [found.filter(regex=f"^_r{i}_").rename(columns=lambda c: c[c.index("_", 1) :]) for i in range(len(regressions))]
+
+
+def fit_one(
+    df: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.0, intercept: bool = True, moments: pd.DataFrame | None = None
+) -> tuple[list[float], float]:
+    """Coefficients and intercept for the whole table: one aggregate row, solved on the spot. ``moments``: that row, where
+    it was found together with others."""
+    if moments is None:
+        moments = moments_of(df, [(y, xs)])[0]
     solved = solve_moments(moments, len(xs) + 1, alpha, intercept).iloc[0]
     return [float(c) for c in solved["coef"]], float(solved["intercept"])
 
@@ -114,8 +124,8 @@ class LinearForecaster:
     coef: tuple[float, ...] = ()
     intercept: float = 0.0
 
-    def fit(self, df: DataFrame) -> LinearForecaster:
-        coef, intercept = fit_one(df, self.target, self.features, self.alpha)
+    def fit(self, df: DataFrame, moments: pd.DataFrame | None = None) -> LinearForecaster:
+        coef, intercept = fit_one(df, self.target, self.features, self.alpha, moments=moments)
         return LinearForecaster(self.features, self.target, self.alpha, tuple(coef), intercept)
 
     def predict(self, df: DataFrame) -> DataFrame:

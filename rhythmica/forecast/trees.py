@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rhythmica.forecast.regression import LinearForecaster, moments_of
 from rhythmica.functions import metrics as M
 from rhythmica.functions.calendar import literal
 from rhythmica.operators.layout import keys_at
@@ -26,6 +27,9 @@ from rhythmica.session import settled
 #: Square root of the rows from which Spark's trees learn the distinct bins of a feature.
 BINS_SEEN = 1024
 
+#: Sums that one pass adds up for several trials: 30 cost 14 ns each and row, 36 cost 38, since code that long is not compiled.
+SUMS_TOGETHER = 30
+
 
 @dataclass
 class TreeForecaster:
@@ -224,9 +228,51 @@ def _trial_score(build: Callable[..., object], params: dict, train: DataFrame, v
     except Exception as e:  # a learner may raise anything; if the session is gone, the next line raises as well
         train.sparkSession.range(1).count()
         return worst, f"failed: {type(e).__name__}"
+    return _status(score, worst)
+
+
+def _status(score: float | None, worst: float) -> tuple[float, str]:
     return (worst, "no score") if score is None or math.isnan(score) else (score, "ok")
 
 
+def _built(build: Callable[..., object], params: dict) -> object:
+    """The learner, or None where its parameters are refused, which the trial's own run reports."""
+    try:
+        return build(**params)
+    except Exception:  # anything may be raised
+        return None
+
+
+def _together(learners: dict[int, object]) -> list[list[int]]:
+    """Linear trials in groups that share their passes over the rows, each of as many as have ``SUMS_TOGETHER`` sums."""
+    groups, room = [], 0
+    for i, learner in learners.items():
+        if not isinstance(learner, LinearForecaster):
+            continue
+        names = len(learner.features) + 1
+        sums = 1 + names + names * (names + 1) // 2
+        if sums > room:
+            groups.append([])
+            room = SUMS_TOGETHER
+        groups[-1].append(i)
+        room -= sums
+    return groups
+
+
+def _scores_together(learners: dict[int, LinearForecaster], train: DataFrame, validation: DataFrame, y: str, metric: M.Metric, worst: float) -> dict[int, tuple[float, str]]:
+    """What ``_trial_score`` gives for each, from one pass over the training rows and one over the validation rows. Nothing if one
+    cannot be fitted or scored, so that it fails by itself and not with the others."""
+    try:
+        moments = moments_of(train, [(m.target, m.features) for m in learners.values()])
+        scored = validation
+        for (i, learner), found in zip(learners.items(), moments, strict=True):
+            scored = learner.fit(train, found).predict(scored).withColumnRenamed("prediction", f"_prediction_{i}")
+        scores = scored.agg(*[metric(F.col(y), F.col(f"_prediction_{i}")).alias(str(i)) for i in learners]).first()
+    except Exception:  # as there
+        return {}
+    return {i: _status(scores[str(i)], worst) for i in learners}
+
+
 def successive_halving(
     build: Callable[..., object], trials: Sequence[dict], train: DataFrame, validation: DataFrame, y: str, order_by: Sequence[str],
     rungs: int = 3, eta: int = 2, metric: M.Metric = M.rmse, maximise: bool = False, parallel: int = 4,
@@ -234,7 +280,8 @@ def successive_halving(
     """Trials that fall behind on a short window of the latest training rows are dropped before the next, ``eta`` times longer one.
 
     The last rung trains on all rows. Of each rung the best ceil(n / eta) go on, ties to the smaller trial number; failed trials
-    never do. Trials of a rung are concurrent Spark jobs, at most ``parallel`` at a time. Equal times (the first of
+    never do. Linear trials of a rung share one pass over its window and one over the validation rows, as far as their sums fit;
+    these passes, and all other trials, are concurrent Spark jobs, at most ``parallel`` at a time. Equal times (the first of
     ``order_by``, which ends in a unique tiebreak) are in or out of a window together. One row per rung and trial.
     """
     if rungs < 1 or eta < 2:
@@ -243,12 +290,21 @@ def successive_halving(
     time = order_by[0]
     timed = train.where(F.col(time).isNotNull())
     shares = [eta ** (rungs - 1 - k) for k in range(rungs)]
-    starts = keys_at(timed, order_by, lambda n: [n - max(n // s, 1) if n else 0 for s in shares])
+    starts = [*keys_at(timed, order_by, lambda n: [n - max(n // s, 1) if n else 0 for s in shares[:-1]]), None]
     kind, alive, rows = train.schema[time].dataType, list(range(len(trials))), []
+    shared = "prediction" not in [c.lower() for c in validation.columns]  # else a trial takes away what the next one reads
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
         for rung, (share, start) in enumerate(zip(shares, starts, strict=True)):
-            window = train if share == 1 or start is None else timed.where(F.col(time) >= literal(start[time], kind))
-            scores = list(pool.map(lambda i: _trial_score(build, trials[i], window, validation, y, metric, worst), alive))  # noqa: B023
+            window = train if start is None else timed.where(F.col(time) >= literal(start[time], kind))
+            learners = dict(zip(alive, pool.map(lambda i: _built(build, trials[i]), alive), strict=True))
+            groups = [{i: learners[i] for i in group} for group in _together(learners)] if shared else []
+            found = {}
+            for part in pool.map(lambda group: _scores_together(group, window, validation, y, metric, worst), groups):  # noqa: B023
+                found |= part
+            alone = [i for i in alive if i not in found]
+            own = {i: build if learners[i] is None else lambda learner=learners[i], **_: learner for i in alone}
+            found |= zip(alone, pool.map(lambda i: _trial_score(own[i], trials[i], window, validation, y, metric, worst), alone), strict=True)  # noqa: B023
+            scores = [found[i] for i in alive]
             ranked = sorted(zip(alive, scores, strict=True), key=lambda t: ((-t[1][0] if maximise else t[1][0]), t[0]))
             sound = [i for i, (_, status) in ranked if status == "ok"]
             kept = sound[: math.ceil(len(alive) / eta)] if rung < rungs - 1 else sound[:1]
