successive_halving_lineitem: only rows of the wanted blocks are searched for their block

Symptom: At 60 times sf0.1 the starts of the windows, two keys, cost more CPU than all trials together; the block of every row was searched twice, once to count the blocks and once to number two of them.
Evidence: The search is a loop over an array for each row, which Spark does not compile: the stage that counts the blocks takes 62 CPU s of 36 million rows, a whole trial pass 5 or less. Event log of local-cluster[3,2], 12 partitions, one run each but for the last figure.
Fix: keys_at compares rows with the ends of the wanted blocks (up to 8, otherwise as before) before it searches, so the second search sees only their rows. Cut points, blocks and keys are the same. Tables of one block (2 million rows by default) go the way they went.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 436 -> 329 s, shuffle 0.14 -> 0.09 GB, spill 0.00 -> 0.00 GB, read 7.46 -> 4.09 GB, longest task 9 -> 8 s, most memory of a task 235 -> 235 MB; at 6 GB of input CPU 2323 -> 1543 s, shuffle 8.23 -> 8.20 GB, spill 0.00 -> 0.00 GB, read 40.80 -> 20.38 GB, longest task 24 -> 24 s, most memory of a task 203 -> 203 MB; with hot keys, at 1 GB of input CPU 429 -> 336 s, shuffle 0.13 -> 0.08 GB, spill 0.00 -> 0.00 GB, read 7.33 -> 3.97 GB, longest task 9 -> 9 s, most memory of a task 235 -> 201 MB.

@@ -27,6 +27,7 @@ ROWS_PER_BLOCK_KEY = "spark.rhythmica.rowsPerBlock"
 ROWS_PER_BLOCK = 2_000_000
 MAX_BLOCKS = 50_000
 SAMPLES_PER_BLOCK = 32
+FEW_BLOCKS = 8  # rows of up to so many wanted blocks are told by comparing with the ends of the blocks
 
 BLOCK, COPY, BEFORE, TOTAL, TAIL = "_blk", "_copy", "_before", "_total", "_tail"
 
@@ -274,6 +275,17 @@ def with_position(
     return spread.withColumns(new).drop(BLOCK, BEFORE, TOTAL)
 
 
+def _in_blocks(layout: Layout, key: Column, blocks: Sequence[int], n_blocks: int) -> Column:
+    """Whether a key of the only series lies in one of these blocks, by comparison with their ends."""
+    edges = sorted({e for i in blocks for e in (i, i + 1) if 0 < e < n_blocks})
+    start = layout.cuts.select(F.struct(F.lit(0), *[F.element_at("_b", e + 1)["start"].alias(f"e{e}") for e in edges]).alias("s")).scalar()
+    out = F.lit(False)
+    for i in blocks:
+        after = key >= start[f"e{i}"] if i else F.lit(True)
+        out = out | (after & (key < start[f"e{i + 1}"]) if i + 1 < n_blocks else after)
+    return out
+
+
 def keys_at(df: DataFrame, order_by: Sequence[str], positions: Callable[[int], Sequence[int]]) -> list[dict | None]:
     """The order keys at 0-based positions of the whole table; ``positions`` gets the row count.
 
@@ -289,7 +301,10 @@ def keys_at(df: DataFrame, order_by: Sequence[str], positions: Callable[[int], S
         starts, end = list(entries["before"]), entries["_hot_total"]
         ends = starts[1:] + [end]
         blocks = [i for i, (a, b) in enumerate(zip(starts, ends, strict=True)) if any(a <= p < b for p in wanted)]
-        spread = spread.filter(F.col(BLOCK).isin(blocks))
+        if len(blocks) <= FEW_BLOCKS:
+            spread = layout.spread(keys.filter(_in_blocks(layout, _order_key(keys, order_by), blocks, len(starts))))
+        else:
+            spread = spread.filter(F.col(BLOCK).isin(blocks))
     numbered = spread.withColumn("_pos", F.col(BEFORE) + F.row_number().over(layout.window()) - 1)
     rows = numbered.filter(F.col("_pos").isin(wanted)).select("_pos", *order_by).collect()  # one row per wanted position
     at = {r["_pos"]: {c: r[c] for c in order_by} for r in rows}
